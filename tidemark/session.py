@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +54,17 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: on a cluster they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tidemark-package-")) / "tidemark_package.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, str(Path(root.name) / file.relative_to(root)))
+    context.addPyFile(str(target))
+    context._tidemark_shipped = True
