@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from tidemark.llm.page_text import FUNCTION, LANGUAGE_OF, body_lines, function_share, words_of
+from tidemark.session import ship_package
 
 
 @dataclass(frozen=True)
@@ -99,6 +100,8 @@ def keyword_share(text: str | None, raw: bytes | None) -> float:
                     continue
                 spam += link_text
                 line = rest
+            elif len(rest.strip()) > 0.6 * len(line):  # a row of words with a link in it
+                line = rest
             else:
                 bare.append((len(line), len(_URL.findall(shown)) or 1))
                 continue
@@ -166,5 +169,6 @@ def keyword_pages(documents: DataFrame, least_share: float = 0.5) -> DataFrame:
             out = pd.DataFrame({"doc_id": batch["doc_id"], "spam_share": shares})
             yield out[out.spam_share > least_share]
 
+    ship_package(documents.sparkSession)
     columns = ["doc_id", "text", *["raw"] * has_raw]
     return documents.filter("text IS NOT NULL AND text <> ''").select(*columns).mapInPandas(judge, "doc_id bigint, spam_share double")
