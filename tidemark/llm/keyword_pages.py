@@ -48,17 +48,19 @@ _PIECES = re.compile(r"(?<=[.!?…])\s+|\s*[|·»«•;/→]+\s*|\s+[-–—]+\s
 _SENTENCE_END = re.compile(r"[.!?…][\"”»')]*$")
 #: Rows of facts: times, amounts with units, name and value, log lines, posts with author and time.
 _FACT = re.compile(r"^\W*\d{1,2}:\d\d|^\W*\d+(?:[.,]\d+)?\s*(?:[^\W\d_]{1,4}\b|[€$£%])\s+\S|^[^\W\d_]+(?: [^\W\d_]+)?\s*[:=]\s*[^\s;|]+(?:\s+[^\W\d_]{1,3})?$|\w+_\d+,\s*\d|\b\w+=\d+|\d{1,2}[:.]\d\d$")
+_DIGIT = re.compile(r"\d")
+_DOTTED = re.compile(r"[A-Za-z0-9]\.[A-Za-z]")
+_SPACED = re.compile(r"\b\w \w \w\b")
+_MIXED = re.compile(r"[^\W\d_]\d|\d[^\W\d_]")
+_LEETED = re.compile(r"\b(?=\w*[^\W\d_])(?=\w*\d)\w+\b")
 _LEET = str.maketrans("013457", "oieast")
 
 
 def _plain(text: str) -> str:
     """Without disguises: letters set apart by spaces are joined, digits inside words become the letters they stand for."""
-    tokens = text.split(" ")
-    if len(tokens) > 4 and sum(len(t) == 1 for t in tokens if t) > 0.6 * max(1, sum(bool(t) for t in tokens)):
-        text = re.sub(r"(?<=\b\w) (?=\w\b)", "", text)
-    elif re.search(r"(?:\b\w ){3}", text):  # only in part
+    if _SPACED.search(text):
         text = re.sub(r"\b\w(?: \w\b)+", lambda m: m[0].replace(" ", ""), text)
-    return re.sub(r"\b(?=\w*[^\W\d_])(?=\w*\d)\w+\b", lambda m: m[0].translate(_LEET), text)
+    return _LEETED.sub(lambda m: m[0].translate(_LEET), text)
 
 
 def page_language(words: list[str]) -> str | None:
@@ -78,14 +80,17 @@ def keyword_share(text: str | None, raw: bytes | None) -> float:
     total = sum(map(len, lines))
     if not total:
         return 0.0
-    limits = LANGUAGE_THRESHOLDS.get(page_language(words_of(" ".join(lines))) or "en", LANGUAGE_THRESHOLDS["en"])
+    whole = " ".join(lines)
+    links = "://" in whole or "](" in whole or _DOTTED.search(whole)
+    plain = _plain if _SPACED.search(whole) or _MIXED.search(whole) else str
+    limits = LANGUAGE_THRESHOLDS.get(page_language(words_of(whole)) or "en", LANGUAGE_THRESHOLDS["en"])
     spam = 0
     sentences: list[tuple[str, list[str], int]] = []  # text, words, line
     on_line: dict[int, list[str]] = {}  # words of lines with sentences
     items: list[tuple[str, list[str]]] = []  # pieces that are no sentences
     bare: list[tuple[int, int]] = []  # characters and links of lines that are only links
     for number, line in enumerate(lines):
-        if "://" in line or "www." in line or "." in line and _URL.search(line) or "](" in line:
+        if links and ("://" in line or "](" in line or _DOTTED.search(line) and _URL.search(line)):
             shown = _BBCODE.sub(" ", _MARKDOWN.sub(r" \1 ", line))
             rest = _URL.sub(" ", shown)
             words = words_of(rest)
@@ -110,15 +115,15 @@ def keyword_share(text: str | None, raw: bytes | None) -> float:
             continue
         if _LABEL.match(line):
             labels = [p for p in re.split(r"[,;|]", line.split(":", 1)[-1]) if p.strip()]
-            items += [(p, words_of(_plain(p))) for p in labels] if len(labels) < LEAST_PIECES else []
+            items += [(p, words_of(plain(p))) for p in labels] if len(labels) < LEAST_PIECES else []
             spam += len(line) if len(labels) >= LEAST_PIECES else 0
             continue
-        if _FACT.search(line) and not re.search(r"(?i)\btop \d+\b", line):
+        if (":" in line or "=" in line or _DIGIT.search(line)) and _FACT.search(line) and not re.search(r"(?i)\btop \d+\b", line):
             continue
         for piece in _PIECES.split(line):
             if not piece or not piece.strip():
                 continue
-            text_of = _plain(piece)
+            text_of = plain(piece)
             words = words_of(text_of)
             if not words:
                 continue
@@ -127,7 +132,7 @@ def keyword_share(text: str | None, raw: bytes | None) -> float:
             ended = bool(_SENTENCE_END.search(piece)) and len(words) >= 4 and not piece.lstrip("\"“„«¿¡'(—– ")[:1].islower()
             if not listed and (ended or len(words) >= 6 and function_share(words) >= limits.function):
                 sentences.append((piece, words, number))
-                on_line.setdefault(number, words_of(_plain(line)))
+                on_line.setdefault(number, words_of(plain(line)))
             elif listed:
                 items += [(c, words_of(c)) for c in commas]
             else:

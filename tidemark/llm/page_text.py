@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 #: Frequent function words by language.
 FUNCTION_WORDS = {
@@ -20,6 +21,10 @@ FUNCTION = frozenset(LANGUAGE_OF)
 #: Charsets tried for bytes that are not UTF-8.
 CHARSETS = ("cp1252", "cp1251", "koi8-r", "iso-8859-2", "cp1250")
 
+#: Words with bytes beyond ASCII; all others read alike in every charset.
+_FOREIGN = re.compile(rb"[A-Za-z]*[\x80-\xff][A-Za-z\x80-\xff]*")
+#: What no language of these has: capitals inside words, signs in place of letters, two alphabets in one word.
+_ODD = re.compile(r"(?<=[^\W\d_])[A-ZÀ-ÞА-ЯЁ](?=[a-zß-ÿа-яё])|[\x80-\x9f¤¦¬±¶\ufffd]|(?<=[a-z])[¹³¿]|(?<=[a-z])[А-яЁё]|(?<=[А-яЁё])[a-z]")
 _WORD = re.compile(r"[^\W_]+")
 _BOILERPLATE = re.compile(r'(?is)<(nav|footer|script|style|header|aside)\b.*?</\1\s*>|<div\s+class="(?:consent|cookie[^"]*)".*?</div\s*>|<!--.*?-->')
 _BLOCK = re.compile(r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|table|tr|td|br|section|article|blockquote|pre)\b[^>]*>")
@@ -53,16 +58,16 @@ def decode(raw: bytes) -> str:
     except UnicodeDecodeError as error:
         if error.start >= len(raw) - 4 and error.start > 8:
             return raw.decode("utf-8", "ignore")
-    best, best_score = "", None
+    tokens = Counter(_FOREIGN.findall(raw))
+    best, best_score = CHARSETS[0], None
     for charset in CHARSETS:
-        text = raw.decode(charset, "replace")
-        body = _TAG.sub(" ", text)
-        found = sum(w in FUNCTION and not w.isascii() or w in FUNCTION and len(w) > 1 for w in words_of(body))
-        odd = len(re.findall(r"(?<=[^\W\d_])[A-ZÀ-ÞА-ЯЁ](?=[a-zß-ÿа-яё])|[\x80-\x9f¤¦¬±¶�]|(?<=[a-z])[¹³¿]|(?<=[a-z])[А-яЁё]|(?<=[А-яЁё])[a-z]", body))
-        score = found - odd
+        score = 0
+        for token, n in tokens.items():
+            text = token.decode(charset, "replace")
+            score += n * (sum(w in FUNCTION for w in words_of(text)) - len(_ODD.findall(text)))
         if best_score is None or score > best_score:
-            best, best_score = text, score
-    return best
+            best, best_score = charset, score
+    return raw.decode(best, "replace")
 
 
 def body_lines(text: str | None, raw: bytes | None) -> list[str]:
