@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import plain_key
 from tidemark.session import path_exists
@@ -127,10 +127,15 @@ def kept_copies(messages: DataFrame, repeated_only: bool = False) -> DataFrame:
 
 
 def one_copy(rows: DataFrame, messages: DataFrame) -> DataFrame:
-    """``rows`` with exactly one row of each message: its kept copy. Rows without identifier all stay."""
+    """``rows`` with exactly one row of each message: its kept copy. Rows without identifier all stay.
+
+    Where several rows share the kept place (a row written twice, perhaps spelled otherwise) the least by its columns stays.
+    """
     keyed = rows.withColumn("__e", plain_key("event_id")).withColumn("__h", F.coalesce(plain_key("canonical_payload_hash"), F.lit("")))
-    kept = kept_copies(messages).withColumnsRenamed({"event_id": "__e", "canonical_payload_hash": "__h", "kafka_partition": "__p", "kafka_offset": "__o"})
-    same: Column = (F.col("kafka_partition").eqNullSafe(F.col("__p"))) & (F.col("kafka_offset").eqNullSafe(F.col("__o")))
-    # whole rows may repeat, place included; the kept place then holds several equal copies
-    found = keyed.filter("__e IS NOT NULL").join(kept, ["__e", "__h"]).filter(same).dropDuplicates(["__e", "__h"])
-    return keyed.filter("__e IS NULL").select(*rows.columns).unionByName(found.select(*rows.columns))
+    kept = messages.select(F.col("event_id").alias("__e"), F.col("canonical_payload_hash").alias("__h"), "kept")
+    same = F.lit(True)
+    for c in ("kafka_timestamp", "kafka_partition", "kafka_offset"):
+        same = same & F.col(c).eqNullSafe(F.col(f"kept.{c}"))
+    found = keyed.filter("__e IS NOT NULL").join(kept, ["__e", "__h"]).filter(same)
+    single = found.groupBy("__e", "__h").agg(F.min(F.struct(*rows.columns)).alias("__row")).select("__row.*")
+    return keyed.filter("__e IS NULL").select(*rows.columns).unionByName(single)
