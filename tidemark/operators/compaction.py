@@ -38,7 +38,8 @@ def consolidate(small: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame
     """
     per_day = small.groupBy("event_date").agg(F.sum("body_bytes").alias("day_bytes"))
     bundles = per_day.select(F.col("event_date").alias("bundle_date"), F.greatest(F.ceil(F.col("day_bytes") / target_bytes), F.lit(1)).alias("bundles"))
-    dealt = small.join(bundles, F.col("event_date").eqNullSafe(F.col("bundle_date"))).withColumn("bundle", F.pmod(F.xxhash64("file_id"), F.col("bundles")))
+    # one row per day
+    dealt = small.join(F.broadcast(bundles), F.col("event_date").eqNullSafe(F.col("bundle_date"))).withColumn("bundle", F.pmod(F.xxhash64("file_id"), F.col("bundles")))
     lines = F.filter(F.split(F.coalesce("body", F.lit("")), "\n"), lambda x: F.length(F.btrim(x)) > 0)
     return dealt.select("event_date", "bundle", "file_id", "body_bytes", F.posexplode_outer(lines).alias("line_no", "record"))
 

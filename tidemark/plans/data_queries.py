@@ -30,7 +30,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_state(spark: SparkSession, sf: str) -> DataFrame:
-    return lsm.apply_changes(spark, table(spark, sf, "order_changes"), work_dir(spark, "p2"))
+    return lsm.apply_feed(spark, table_path(sf, "order_changes"), work_dir(spark, "p2")).read()
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:

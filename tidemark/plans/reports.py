@@ -434,10 +434,13 @@ def multiset_match(spark: SparkSession, sf: str) -> DataFrame:
     """Item rows matched to payment rows of the same order and amount, each payment used at most once, earlier loads first."""
     w = Warehouse(spark, sf)
     there = w.stg("order_payments").groupBy("order_id", F.col("payment_value").alias("price")).agg(rows_of().alias("available"))
-    turn = Window.partitionBy("order_id", "price").orderBy("ingest_date", F.asc_nulls_last("order_item_id"), F.asc_nulls_last("product_id"), F.asc_nulls_last("seller_id"))
-    claims = w.stg("order_items").filter("order_id IS NOT NULL AND price IS NOT NULL").withColumn("turn", F.row_number().over(turn))
-    matched = F.coalesce(F.col("turn") <= F.col("available"), F.lit(False))
-    return claims.join(there, ["order_id", "price"], "left").groupBy("ingest_date").agg(F.count_if(matched).alias("matched"), F.count_if(~matched).alias("unmatched"))
+    claims = w.stg("order_items").filter("order_id IS NOT NULL AND price IS NOT NULL").groupBy("order_id", "price", "ingest_date").agg(rows_of().alias("claimed"))
+    # counts, not rows, are put in order: a key with very many rows is one count a day
+    earlier = Window.partitionBy("order_id", "price").orderBy("ingest_date").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.coalesce("available", F.lit(0)) - F.coalesce(F.sum("claimed").over(earlier), F.lit(0))
+    matched = F.greatest(F.least(F.col("claimed"), F.col("left")), F.lit(0))
+    numbered = claims.join(there, ["order_id", "price"], "left").withColumn("left", left)
+    return numbered.groupBy("ingest_date").agg(F.sum(matched).alias("matched"), F.sum(F.col("claimed") - matched).alias("unmatched"))
 
 
 @query
