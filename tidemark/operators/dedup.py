@@ -17,6 +17,7 @@ from tidemark.functions.text import plain_key
 from tidemark.session import path_exists
 from tidemark.sources.tables import stream_path
 
+MESSAGES = "event_id string, canonical_payload_hash string, kept struct<no_time: boolean, kafka_timestamp: timestamp_ntz, kafka_partition: int, kafka_offset: bigint>, n bigint, last_seen timestamp_ntz"
 KEY = ["event_id", "canonical_payload_hash"]
 
 
@@ -41,8 +42,6 @@ def _merge(records: DataFrame) -> DataFrame:
 class SeenStore:
     """State of seen messages below ``path``: ``batch=<n>/live=true|false`` and ``commits/<n>.json`` with the watermark."""
 
-    COLUMNS = ("event_id", "canonical_payload_hash", "kept", "n", "last_seen")
-
     def __init__(self, spark: SparkSession, path: str, horizon: str = "1 day") -> None:
         self.spark, self.path, self.horizon = spark, path.rstrip("/"), horizon
 
@@ -59,7 +58,7 @@ class SeenStore:
 
     def _read(self, batches: list[int], live: bool) -> DataFrame | None:
         paths = [p for b in batches if path_exists(self.spark, p := f"{self.path}/batch={b}/live={str(live).lower()}")]
-        return self.spark.read.parquet(*paths).select(*self.COLUMNS) if paths else None
+        return self.spark.read.schema(MESSAGES).parquet(*paths) if paths else None
 
     def apply(self, batch: DataFrame, number: int) -> None:
         """Merge one batch into the state. Applying the same batch number again gives the same state."""
@@ -80,7 +79,7 @@ class SeenStore:
         merged = _merge(merged) if len(parts) > 1 else merged
         stays = F.coalesce(F.col("last_seen") >= F.lit(watermark).cast("timestamp_ntz"), F.lit(watermark is None))
         merged.withColumn("live", stays).write.mode("overwrite").partitionBy("live").parquet(f"{self.path}/batch={number}")
-        newest = self.spark.read.parquet(f"{self.path}/batch={number}").agg((F.max("last_seen") - F.expr(f"INTERVAL {self.horizon}")).cast("string")).first()[0]
+        newest = self.spark.read.schema(MESSAGES).parquet(f"{self.path}/batch={number}").agg((F.max("last_seen") - F.expr(f"INTERVAL {self.horizon}")).cast("string")).first()[0]
         mark = max([x for x in (watermark, newest) if x is not None], default=None)
         fs, file = self._commit_file(number)
         stream = fs.create(file, True)
@@ -97,10 +96,10 @@ class SeenStore:
     def messages(self) -> DataFrame:
         """Every message seen so far with its kept copy and number of copies: live state and ledger together."""
         done = self.commits()
-        if not done:
-            return self.spark.createDataFrame([], "event_id string, canonical_payload_hash string, kept struct<no_time: boolean, kafka_timestamp: timestamp_ntz, kafka_partition: int, kafka_offset: bigint>, n bigint, last_seen timestamp_ntz")
-        live, gone = self._read([max(done)], True), self._read(list(done), False)
+        live, gone = (self._read([max(done)], True), self._read(list(done), False)) if done else (None, None)
         parts = [p for p in (live, gone) if p is not None]
+        if not parts:
+            return self.spark.createDataFrame([], MESSAGES)
         if gone is None:
             return parts[0]
         both = parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
@@ -132,10 +131,10 @@ def one_copy(rows: DataFrame, messages: DataFrame) -> DataFrame:
     Where several rows share the kept place (a row written twice, perhaps spelled otherwise) the least by its columns stays.
     """
     keyed = rows.withColumn("__e", plain_key("event_id")).withColumn("__h", F.coalesce(plain_key("canonical_payload_hash"), F.lit("")))
-    kept = messages.select(F.col("event_id").alias("__e"), F.col("canonical_payload_hash").alias("__h"), "kept")
+    kept = messages.select(F.col("event_id").alias("__e"), F.col("canonical_payload_hash").alias("__h"), F.col("kept").alias("__kept"))
     same = F.lit(True)
     for c in ("kafka_timestamp", "kafka_partition", "kafka_offset"):
-        same = same & F.col(c).eqNullSafe(F.col(f"kept.{c}"))
+        same = same & F.col(c).eqNullSafe(F.col(f"__kept.{c}"))
     found = keyed.filter("__e IS NOT NULL").join(kept, ["__e", "__h"]).filter(same)
     single = found.groupBy("__e", "__h").agg(F.min(F.struct(*rows.columns)).alias("__row")).select("__row.*")
     return keyed.filter("__e IS NULL").select(*rows.columns).unionByName(single)
