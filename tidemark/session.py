@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tidemark", cores: int | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -44,6 +44,15 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over at least as many tasks as there are cores: a small table in one file would else keep one core busy.
+
+    A table of more files than cores is left as it is, so nothing is moved at scale.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
