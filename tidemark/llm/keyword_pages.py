@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from tidemark.llm.page_text import FUNCTION, LANGUAGE_OF, body_lines, function_share, words_of
-from tidemark.session import ship_package
+from tidemark.session import ship_package, spread
 
 
 @dataclass(frozen=True)
@@ -176,4 +176,4 @@ def keyword_pages(documents: DataFrame, least_share: float = 0.5) -> DataFrame:
 
     ship_package(documents.sparkSession)
     columns = ["doc_id", "text", *["raw"] * has_raw]
-    return documents.filter("text IS NOT NULL AND text <> ''").select(*columns).mapInPandas(judge, "doc_id bigint, spam_share double")
+    return spread(documents.filter("text IS NOT NULL AND text <> ''").select(*columns)).mapInPandas(judge, "doc_id bigint, spam_share double")

@@ -10,7 +10,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.session import ship_package
+from tidemark.session import ship_package, spread
 
 #: Where the vocabulary files lie and which is used, unless the caller names another.
 TOKENIZER_DIR = os.environ.get("TIDEMARK_TOKENIZERS", "/opt/tokenizers")
@@ -70,4 +70,4 @@ def with_tokens(documents: DataFrame, *keep: str, text: str = "text", name: str
             yield out
 
     ship_package(documents.sparkSession)
-    return documents.select(*keep, F.col(text)).mapInPandas(count, schema)
+    return spread(documents.select(*keep, F.col(text))).mapInPandas(count, schema)
