@@ -134,6 +134,11 @@ class SnapshotTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*[f.path for f in chosen]).select(*schema.names)
 
+    def open_paths(self, paths: list[str]) -> DataFrame:
+        """Data files named by a manifest, with today's columns."""
+        schema = self.schema
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths).select(*schema.names)
+
     def _schema_of(self, snapshot: Snapshot) -> StructType:
         return StructType.fromJson(json.loads(snapshot.schema))
 
