@@ -47,6 +47,7 @@ def test_cycles(spark, tmp_path):
     assert house.silver.read().filter("order_id = 'c'").count() == 1  # a key is current once, even if its day moves
     got = {(str(r.event_date), r.country): r.orders_count for r in house.gold.read().collect()}
     assert got == {("2026-08-07", "UK"): 2, ("2026-08-07", None): 1, ("2026-08-09", "UK"): 1}
+    assert house.receipts().count() == 2
     assert lh.digest_of_rows(house.silver.read()) == lh.digest_of_rows(house.rebuild().repartition(3))
     with pytest.raises(ValueError, match="quality"):
         house.publish_gold(strict=True)

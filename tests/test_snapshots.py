@@ -121,6 +121,8 @@ def test_services(spark, tmp_path):
     assert sorted(tuple(r) for r in t.read().collect()) == before
     t.overwrite(rows(spark, [("only", 0, 1, 1.0)]))
     assert state(t.read()) == [("only", 1)]
+    t.truncate()
+    assert t.read().count() == 0
 
 
 def test_control_files(spark, tmp_path):

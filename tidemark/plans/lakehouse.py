@@ -70,6 +70,15 @@ def committed_files(spark: SparkSession, landing: str, done: set[str] = frozense
     return sorted(found - done)
 
 
+def overlapping(manifests: DataFrame, in_flight: DataFrame) -> DataFrame:
+    """Manifests ``(load_id, source_paths, bronze_data_files)`` that share a load, a source or a data file with work in flight.
+
+    Shared entries meet by an equi-join on the entry, so no manifest is compared with every other.
+    """
+    entries = lambda rows: rows.select("load_id", F.explode(F.array_union(F.array(F.concat(F.lit("load:"), "load_id")), F.concat(F.transform("source_paths", lambda p: F.concat(F.lit("source:"), p)), F.transform("bronze_data_files", lambda p: F.concat(F.lit("file:"), p))))).alias("entry"))
+    return entries(manifests).join(entries(in_flight).select("entry").distinct(), "entry", "left_semi").select("load_id").distinct()
+
+
 def backfill_versions(rows: DataFrame) -> DataFrame:
     """Version 1 for rows without one, where no key is NULL, repeated or known under a version as well; else an error."""
     open_rows = rows.filter(F.col("business_version").isNull())
@@ -195,6 +204,14 @@ class Lakehouse:
         self.seam("progress")
         control.delete(self.spark, path)
 
+    def receipts(self) -> DataFrame:
+        """All receipts as a table; one that did not succeed, or two for one load, are errors."""
+        schema = "load_id string, sequence bigint, source_paths array<string>, completed_at double, result string, silver_snapshot_id bigint, changed_keys bigint"
+        rows = self.spark.read.schema(schema).json([p for p, _, _ in control.list_files(self.spark, f"{self.root}/ledger") if p.endswith(".json")])
+        if rows.filter("result IS NULL OR result <> 'success'").limit(1).count() or rows.groupBy("load_id").count().filter("count > 1").limit(1).count():
+            raise ValueError("the receipts are not one success per load")
+        return rows
+
     def rebuild(self, bronze_snapshot: int | None = None) -> DataFrame:
         """Silver anew from all of bronze, as it was at a snapshot."""
         return versions.latest_version(self.bronze.read(bronze_snapshot).select(*versions.STATE))

@@ -449,3 +449,38 @@ def like_prefixes(spark: SparkSession, sf: str) -> DataFrame:
     run = F.col("ingestion_run_id")
     kind = F.when(run.like("scheduled%"), "scheduled").when(run.like("manual%"), "manual").when(run.isNull(), "unknown").otherwise("other")
     return table(spark, sf, "pipeline_runs").groupBy(kind.alias("started"), F.concat(F.col("status"), F.lit("/"), kind).alias("label")).agg(rows_of().alias("runs"))
+
+
+@query
+def file_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored files per day and size class: how far are they from well-sized?"""
+    size = F.octet_length("body")
+    kind = F.when(size == 0, "empty").when(size < 1024, "tiny").when(size < 8192, "small").otherwise("large")
+    return table(spark, sf, "landing_files").groupBy("event_date", kind.alias("size_class")).agg(rows_of().alias("files"), F.sum(size).cast("bigint").alias("bytes"))
+
+
+@query
+def stale_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources by the time since their last success, measured at the newest metric of all."""
+    rows = table(spark, sf, "lakehouse_metrics")
+    good = F.when(F.col("status").isin("success", "ok", "noop"), F.unix_micros("metric_ts"))
+    per = rows.groupBy("source").agg(F.max(good).alias("good"), F.count_if(good.isNull()).alias("failures"), F.max(F.unix_micros("metric_ts")).alias("newest"))
+    latest = per.agg(F.max("newest").alias("now"))  # one row
+    return per.crossJoin(latest).select("source", "failures", ((F.col("now") - F.col("good")) / 1_000_000).cast("bigint").alias("seconds_since_success"))
+
+
+@query
+def current_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Incoming rows with the version of the current row but another amount or status."""
+    current, incoming = _sides(spark, sf)
+    c, i = current.alias("c"), incoming.alias("i")
+    differs = ~F.col("c.amount").eqNullSafe(F.col("i.amount")) | ~F.col("c.status").eqNullSafe(F.col("i.status"))
+    return i.join(c, (F.col("c.order_id") == F.col("i.order_id")) & (F.col("c.business_version") == F.col("i.business_version")) & differs).select("i.order_id", "i.business_version", F.col("c.amount").alias("current_amount"), F.col("i.amount").alias("incoming_amount"))
+
+
+@query
+def largest_payment(spark: SparkSession, sf: str) -> DataFrame:
+    """The three largest known payments of each load."""
+    order = Window.partitionBy("ingest_date").orderBy(F.desc("payment_value"), F.asc_nulls_last("order_id"), F.asc_nulls_last("payment_sequential"))
+    rows = table(spark, sf, "stg_order_payments").filter("payment_value IS NOT NULL").dropDuplicates(["ingest_date", "order_id", "payment_sequential", "payment_value"])
+    return rows.withColumn("place", F.row_number().over(order)).filter("place <= 3").select("ingest_date", "place", "payment_value")

@@ -253,6 +253,10 @@ class SnapshotTable:
         added = self._write(self._conform(rows, schema))
         return self._commit("overwrite", lambda now: (added, schema), properties)
 
+    def truncate(self) -> Snapshot:
+        """A snapshot without rows; earlier ones can still be read."""
+        return self._commit("truncate", lambda now: ([], self._schema_of(now)), None)
+
     def replace_keys(self, rows: DataFrame, properties: dict[str, str] | None = None, before_commit: Callable[[], None] | None = None) -> tuple[Snapshot | None, Cost]:
         """Replace the rows of the keys in ``rows``; only files that hold one of them are rewritten. No rows, no snapshot."""
         current = self.snapshot()
