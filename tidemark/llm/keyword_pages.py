@@ -39,15 +39,15 @@ LANGUAGE_THRESHOLDS = {
 #: Least number of pieces in a row of keywords, and of repetitions of a stuffed word.
 LEAST_PIECES, LEAST_REPEATS = 6, 8
 
-_URL = re.compile(r"(?i)\b(?:https?://|ftp://|www\.)\S+|\b(?:[a-z0-9-]+\.)+[a-z]{2,8}/\S*|\b(?:[a-z0-9-]+\.)+(?:example|test|invalid|com|org|net|info|biz)\b")
-_BBCODE = re.compile(r"(?i)\[/?url[^\]]*\]")
-_MARKDOWN = re.compile(r"\[([^\]\n]*)\]\(([^)\n]*)\)")
+_URL = re.compile(r"(?i)\b(?:https?://|ftp://|www\.)\S+|\b(?:[a-z0-9-]{1,63}\.){1,6}[a-z]{2,8}/\S*|\b(?:[a-z0-9-]{1,63}\.){1,6}(?:example|test|invalid|com|org|net|info|biz)\b")
+_BBCODE = re.compile(r"(?i)\[/?url[^\[\]]*\]")
+_MARKDOWN = re.compile(r"\[([^\[\]\n]*)\]\(([^()\n]*)\)")
 _REFERENCE = re.compile(r"^\s*\[\d+\]|^\s*\(?\d+[.)]\s")
 _LABEL = re.compile(r"(?i)^\s*(?:tags?|keywords?|labels?|schlagw\w+|mots[- ]cl\w+|etiquetas?|tagi|теги|метки)\s*[:=]")
-_PIECES = re.compile(r"(?<=[.!?…])\s+|\s*[|·»«•;/→]+\s*|\s+[-–—]+\s+|\s{2,}|[()]")
+_PIECES = re.compile(r"(?<=[.!?…])\s+|\s?[|·»«•;/→]+\s?|\s[-–—]+\s|\s{2,}|[()]")
 _SENTENCE_END = re.compile(r"[.!?…][\"”»')]*$")
 #: Rows of facts: times, amounts with units, name and value, log lines, posts with author and time.
-_FACT = re.compile(r"^\W*\d{1,2}:\d\d|^\W*\d+(?:[.,]\d+)?\s*(?:[^\W\d_]{1,4}\b|[€$£%])\s+\S|^[^\W\d_]+(?: [^\W\d_]+)?\s*[:=]\s*[^\s;|]+(?:\s+[^\W\d_]{1,3})?$|\w+_\d+,\s*\d|\b\w+=\d+|\d{1,2}[:.]\d\d$")
+_FACT = re.compile(r"^\W*\d{1,2}:\d\d|^\W*\d+(?:[.,]\d+)?\s*(?:[^\W\d_]{1,4}\b|[€$£%])\s+\S|^[^\W\d_]+(?: [^\W\d_]+)?\s*[:=]\s*[^\s;|]+(?:\s+[^\W\d_]{1,3})?$|\w_\d{1,9},\s?\d|\w=\d|\d{1,2}[:.]\d\d$")
 _DIGIT = re.compile(r"\d")
 _DOTTED = re.compile(r"[A-Za-z0-9]\.[A-Za-z]")
 _SPACED = re.compile(r"\b\w \w \w\b")

@@ -26,10 +26,11 @@ _FOREIGN = re.compile(rb"[A-Za-z]*[\x80-\xff][A-Za-z\x80-\xff]*")
 #: What no language of these has: capitals inside words, signs in place of letters, two alphabets in one word.
 _ODD = re.compile(r"(?<=[^\W\d_])[A-ZÀ-ÞА-ЯЁ](?=[a-zß-ÿа-яё])|[\x80-\x9f¤¦¬±¶\ufffd]|(?<=[a-z])[¹³¿]|(?<=[a-z])[А-яЁё]|(?<=[А-яЁё])[a-z]")
 _WORD = re.compile(r"[^\W_]+")
-_BOILERPLATE = re.compile(r'(?is)<(nav|footer|script|style|header|aside)\b.*?</\1\s*>|<div\s+class="(?:consent|cookie[^"]*)".*?</div\s*>|<!--.*?-->')
-_BLOCK = re.compile(r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|table|tr|td|br|section|article|blockquote|pre)\b[^>]*>")
-_LINK = re.compile(r'(?is)<a\b[^>]*?href\s*=\s*["\']?([^"\'>\s]*)[^>]*>(.*?)</a\s*>')
-_TAG = re.compile(r"<[^>]+>")
+#: Elements that are not the page's own text; their closing tag is looked for with str.find, so unclosed ones cost nothing.
+_ASIDE = re.compile(r'(?i)<(nav|footer|script|style|header|aside)\b|<(div)\s+class="(?:consent|cookie)|<!(--)')
+_BLOCK = re.compile(r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|table|tr|td|br|section|article|blockquote|pre)\b[^<>]*>")
+_LINK = re.compile(r'(?i)<a\b[^<>]*?href\s*=\s*["\']?([^"\'<>\s]*)[^<>]*>')
+_TAG = re.compile(r"<[^<>]+>")
 
 #: Words of menus, cookie notices and footers, used only for pages without markup.
 MENU_WORDS = frozenset(
@@ -70,6 +71,22 @@ def decode(raw: bytes) -> str:
     return raw.decode(best, "replace")
 
 
+def _own_part(source: str) -> str:
+    lower, kept, at, absent = source.lower(), [], 0, set()
+    for opening in _ASIDE.finditer(source):
+        tag = (opening[1] or opening[2] or opening[3]).lower()
+        if opening.start() < at or tag in absent:
+            continue
+        end = lower.find("-->" if tag == "--" else f"</{tag}", opening.end())
+        if end < 0:
+            absent.add(tag)
+            continue
+        kept.append(source[at : opening.start()])
+        close = source.find(">", end)
+        at = close + 1 if close >= 0 else len(source)
+    return "\n".join([*kept, source[at:]])
+
+
 def body_lines(text: str | None, raw: bytes | None) -> list[str]:
     """Lines of the page's own text. Markup tells menu, notice and footer apart where there is some; else known words do.
 
@@ -79,8 +96,7 @@ def body_lines(text: str | None, raw: bytes | None) -> list[str]:
         source = decode(bytes(raw))
         if "<" in source[:400]:
             start = source.lower().find("<body")
-            source = _BOILERPLATE.sub("\n", source[max(start, 0) :])
-            source = _LINK.sub(lambda m: f" {m[1]} {m[2]} ", source)
+            source = _LINK.sub(r" \1 ", _own_part(source[max(start, 0) :]))
             source = html.unescape(_TAG.sub(" ", _BLOCK.sub("\n", source)))
             return [x for line in source.split("\n") if (x := line.strip())]
     lines = [x for line in (text or "").split("\n") if (x := line.strip())]
