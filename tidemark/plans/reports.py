@@ -36,7 +36,7 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
 
 def gold(state: DataFrame) -> DataFrame:
     """Per day, country and status: orders with an id, amounts and customers; NULL keys are groups of their own."""
-    amount = F.col("amount").cast(TOTAL)
+    amount = F.col("amount").try_cast(TOTAL)
     return state.groupBy("event_date", "country", "status").agg(
         F.count("order_id").alias("orders_count"), total(amount).alias("total_amount"), mean(F.sum(amount), F.count("amount")).alias("avg_amount"), F.countDistinct("customer").alias("distinct_customers")
     )
@@ -85,7 +85,7 @@ def conditional_merge(spark: SparkSession, sf: str) -> DataFrame:
 def serving_upsert(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["order_id", "customer", "amount", "country", "status", "business_version", "kafka_partition", "kafka_offset"]
     stored = table(spark, sf, "streaming_orders").select(*columns)
-    batch = bronze(spark, sf).filter("order_id IS NOT NULL").withColumn("amount", F.col("amount").cast("decimal(14,2)")).select(*columns)
+    batch = bronze(spark, sf).filter("order_id IS NOT NULL").withColumn("amount", F.col("amount").try_cast("decimal(14,2)")).select(*columns)
     return versions.conditional_merge(stored, versions.newest_in_batch(batch), versions.newer_version(), check=False)
 
 
@@ -303,7 +303,7 @@ def except_both_ways(spark: SparkSession, sf: str) -> DataFrame:
 def sales_mart(spark: SparkSession, sf: str) -> DataFrame:
     """Orders and their amount per day of the event stream."""
     rows = bronze(spark, sf).groupBy(F.to_date("event_time").alias("order_date"))
-    return rows.agg(F.countDistinct("order_id").alias("orders"), total(F.col("amount").cast(TOTAL)).alias("amount"))
+    return rows.agg(F.countDistinct("order_id").alias("orders"), total(F.col("amount").try_cast(TOTAL)).alias("amount"))
 
 
 @query

@@ -59,7 +59,7 @@ def serve(spark: SparkSession, paths: Paths, batch: DataFrame, batch_id: int) ->
 
     Merging a batch again changes nothing. The totals per country are made anew from the merged table.
     """
-    rows = batch.withColumn("amount", F.col("amount").cast("decimal(14,2)")).withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*SERVING)
+    rows = batch.withColumn("amount", F.col("amount").try_cast("decimal(14,2)")).withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*SERVING)
     newest = versions.newest_in_batch(rows).persist()
     try:
         if newest.isEmpty():
