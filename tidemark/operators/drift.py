@@ -45,19 +45,14 @@ def target_of(name: Column, other_names: dict[str, str] | None = None) -> Column
     return F.coalesce(F.element_at(table, _folded(name)), name)
 
 
+#: Names of variant types to JSON kinds; an integer beyond 64 bits is a decimal without scale, while 2.0 is DECIMAL(1,0).
+_KINDS = {"STRING": "text", "BOOLEAN": "truth", "BIGINT": "whole", "OBJECT": "object", "ARRAY": "array", "DECIMAL": "fraction", "DOUBLE": "fraction", "FLOAT": "fraction"} | {f"DECIMAL({p},0)": "whole" for p in range(19, 39)}
+
+
 def kind_of(value: Column) -> Column:
-    """JSON kind of a variant: text, whole, fraction, truth, object, array; NULL for null."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(schema == "VOID", F.lit(None).cast("string"))
-        .when(schema == "STRING", "text")
-        .when(schema == "BOOLEAN", "truth")
-        .when(schema == "BIGINT", "whole")
-        .when(schema.startswith("OBJECT"), "object")
-        .when(schema.startswith("ARRAY"), "array")
-        .when(schema.rlike(r"^DECIMAL\((19|2[0-9]|3[0-8]),0\)$"), "whole")  # beyond 64 bits; 2.0 is DECIMAL(1,0)
-        .otherwise("fraction")
-    )
+    """JSON kind of a variant: text, whole, fraction, truth, object, array; NULL for null. The variant is looked at once."""
+    table = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+    return F.try_element_at(table, F.regexp_extract(F.schema_of_variant(value), r"^(DECIMAL\((?:19|2[0-9]|3[0-8]),0\)|[A-Z]+)", 1))
 
 
 def record_of(line: Column) -> Column:
@@ -77,20 +72,24 @@ def file_shapes(files: DataFrame) -> DataFrame:
     ``kind`` is NULL where the field is null throughout the file. Where two names of a file stand for one column, the column's
     own name (else the first by name) speaks for it and the other counts as a field of its own.
     """
-    readable = files.filter("producer IS NOT NULL").select("producer", F.col("file_seq").cast("bigint").alias("file_seq"), F.col("file_id").cast("bigint").alias("file_id"), records_of(F.col("body")).alias("r")).filter("size(r) > 0")
-    pairs = F.array_distinct(F.flatten(F.transform("r", lambda m: F.transform(F.map_entries(m), lambda e: F.struct(e["key"].alias("name"), kind_of(e["value"]).alias("kind"))))))
-    named = readable.select("producer", "file_seq", "file_id", pairs.alias("p"))
-    names = named.withColumn("names", F.array_sort(F.array_distinct(F.transform("p", lambda x: x["name"]))))
-
-    def field(name: Column) -> Column:
-        target = target_of(name)
-        rivals = F.filter("names", lambda n: target_of(n) == target)
-        speaker = F.when(F.array_contains(rivals, target), target).otherwise(F.element_at(rivals, 1))
-        return F.when(speaker == name, target).otherwise(name)
+    kept = files.filter("producer IS NOT NULL").select("producer", F.col("file_seq").cast("bigint").alias("file_seq"), F.col("file_id").cast("bigint").alias("file_id"), "body")
+    # an explode of one element: a filter on its output is not pushed below it, which would parse every body twice
+    readable = kept.select("producer", "file_seq", "file_id", F.explode(F.array(records_of(F.col("body")))).alias("r")).filter("size(r) > 0")
+    # kind and name as one text, so that distinct values are found by hash
+    pair = lambda e: F.concat(F.coalesce(kind_of(e["value"]), F.lit("")), F.lit("|"), e["key"])
+    pairs = F.array_distinct(F.flatten(F.transform("r", lambda m: F.transform(F.map_entries(m), pair))))
+    seen = readable.select("producer", "file_seq", "file_id", F.transform(pairs, lambda p: F.struct(F.substring_index(p, "|", 1).alias("kind"), p.alias("pair"))).alias("p"))
+    seen = seen.select("producer", "file_seq", "file_id", F.transform("p", lambda x: F.struct(x["pair"].substr(F.length(x["kind"]) + 2, F.length(x["pair"])).alias("name"), F.nullif(x["kind"], F.lit("")).alias("kind"))).alias("p"))
+    named = seen.withColumn("names", F.transform(F.array_sort(F.array_distinct(F.transform("p", lambda x: x["name"]))), lambda n: F.struct(n.alias("name"), target_of(n).alias("target"))))
+
+    def field(n: Column) -> Column:
+        rivals = F.filter("names", lambda o: o["target"] == n["target"])
+        speaker = F.when(F.exists(rivals, lambda o: o["name"] == n["target"]), n["target"]).otherwise(F.get(rivals, F.lit(0))["name"])
+        return F.when((F.size(rivals) == 1) | (speaker == n["name"]), n["target"]).otherwise(n["name"])
 
     # several kinds in one file: the first by name, as a stable choice
-    fields = F.transform("names", lambda n: F.struct(field(n).alias("field"), n.alias("name"), F.array_min(F.transform(F.filter("p", lambda x: (x["name"] == n) & x["kind"].isNotNull()), lambda x: x["kind"])).alias("kind")))
-    return names.select("producer", "file_seq", "file_id", fields.alias("fields"))
+    kind = lambda n: F.array_min(F.transform(F.filter("p", lambda x: x["name"] == n["name"]), lambda x: x["kind"]))
+    return named.select("producer", "file_seq", "file_id", F.transform("names", lambda n: F.struct(field(n).alias("field"), n["name"].alias("name"), kind(n).alias("kind"))).alias("fields"))
 
 
 def shape_changes(shapes: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -168,8 +167,8 @@ def ingest_files(files: DataFrame) -> DataFrame:
     ``rescued`` is a JSON object of the fields without a target column and of values that the target type cannot hold, NULL
     where there are none. Empty files and lines cut off give no row. Columns no record has are NULL.
     """
-    parsed = files.select("file_id", F.col("event_date").alias("file_date"), F.posexplode(F.split("body", "\r?\n")).alias("line_no", "line"))
-    records = parsed.select("file_id", "file_date", "line_no", record_of(F.col("line")).alias("m")).filter("m IS NOT NULL")
+    lines = F.transform(F.split("body", "\r?\n"), record_of)
+    records = files.select("file_id", F.col("event_date").alias("file_date"), F.posexplode(lines).alias("line_no", "m")).filter("m IS NOT NULL")
     keyed = records.withColumn("by_field", F.transform(F.map_entries("m"), lambda e: F.struct(target_of(e["key"]).alias("field"), e["key"].alias("name"), e["value"].alias("value"))))
     first = lambda part, c: F.get(F.filter("by_field", lambda x: x[part] == c), F.lit(0))
     picked = keyed.select("*", *[F.coalesce(first("name", c), first("field", c)).alias(f"v_{c}") for c in TARGET])
