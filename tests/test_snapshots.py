@@ -66,6 +66,17 @@ def test_bucket_layout_plans_fewer_files(spark, tmp_path):
     assert planned["bucket(16)"] < planned["day"]
 
 
+def test_few_and_many_keys_choose_alike(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path / "t")
+    for d in range(3):
+        t.append(rows(spark, [(f"k{d}{i}", d, 1, 1.0) for i in range(5)]))
+    keys = spark.createDataFrame([("k03",), ("k21",), (None,)], "order_id string")
+    assert t.plan_cost(keys)[0] == 2 and t.read_keys(keys).count() == 2
+    monkeypatch.setattr("tidemark.sources.snapshots.LISTED_KEYS", 1)
+    assert t.plan_cost(keys)[0] == 3 and t.read_keys(keys).count() == 2  # by the span of all keys
+    assert t.read_keys(keys.limit(0)).count() == 0
+
+
 def test_additive_schema(spark, tmp_path):
     t = table(spark, tmp_path / "t")
     t.append(rows(spark, [("a", 0, 1, 1.0)]).drop("business_version"))

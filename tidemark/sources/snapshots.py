@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
@@ -20,6 +21,10 @@ from pyspark.sql.types import StructType
 from tidemark.sources import files as control
 
 
+#: Most keys of a keyed read or write that are held against every file's span by themselves.
+LISTED_KEYS = 1000
+
+
 class CommitConflict(RuntimeError):
     """The table changed under a write that depends on what it had read."""
 
@@ -164,13 +169,18 @@ class SnapshotTable:
         return self._open(self._schema_of(chosen), self._candidates(chosen, keys)).join(keys.select(self.key).distinct(), self.key, "left_semi")
 
     def _candidates(self, snapshot: Snapshot, keys: DataFrame) -> list[DataFile]:
-        """Files that may hold one of the keys: by the parts and spans of the keys, which are as many as there are parts."""
-        part = self._part_of()
-        grouping = part if self.layout and self.layout.startswith("bucket") else F.lit("")
-        spans = {r.p: (r.low, r.high) for r in keys.filter(F.col(self.key).isNotNull()).groupBy(grouping.alias("p")).agg(F.min(F.col(self.key).cast("string")).alias("low"), F.max(F.col(self.key).cast("string")).alias("high")).collect()}
-        if not (self.layout and self.layout.startswith("bucket")):
-            return self._prune(snapshot.files, spans.get("")) if spans else []
-        return [f for f in snapshot.files if f.part in spans and self._prune([f], spans[f.part])]
+        """Files that may hold one of the keys: few keys are held against each file's span one by one, many by their span per part."""
+        bucketed = bool(self.layout and self.layout.startswith("bucket"))
+        text = keys.filter(F.col(self.key).isNotNull()).select((self._part_of() if bucketed else F.lit("")).alias("p"), F.col(self.key).cast("string").alias("k"))
+        few = text.distinct().limit(LISTED_KEYS + 1).collect()
+        by_part: dict[str, list[str]] = {}
+        if len(few) <= LISTED_KEYS:
+            for r in few:
+                by_part.setdefault(r.p, []).append(r.k)
+            by_part = {p: sorted(ks) for p, ks in by_part.items()}
+            return [f for f in snapshot.files if (ks := by_part.get(f.part if bucketed else "")) and (f.min_key is None or (at := bisect_left(ks, f.min_key)) < len(ks) and ks[at] <= f.max_key)]
+        spans = {r.p: (r.low, r.high) for r in text.groupBy("p").agg(F.min("k").alias("low"), F.max("k").alias("high")).collect()}  # one row per bucket
+        return [f for f in snapshot.files if (span := spans.get(f.part if bucketed else "")) and self._prune([f], span)]
 
     # --- writing ------------------------------------------------------------------------------------------------------
     def _part_of(self):
