@@ -71,3 +71,9 @@ def test_bundles_follow_bytes_not_days(spark):
     sizes = rows.filter("event_date IS NOT NULL").groupBy("bundle").agg(F.sum("body_bytes").alias("b")).collect()
     assert len(sizes) == 10 and max(r.b for r in sizes) < 8000
     assert rows.filter("event_date IS NULL").count() == 1
+
+
+def test_log_counts_an_entry_once_under_any_log_seq(spark, rows_of):
+    log = spark.createDataFrame([(1, "add", 7, "l"), (1, "add", 7, "l"), (5, "add", 7, "l"), (2, "add", 8, "l"), (3, "remove", 7, "l"), (9, "remove", 7, "l"), (6, "add", 7, "m")], LOG)
+    metrics = spark.createDataFrame([("l", 2, 1), ("m", 2, 0), (None, 5, 5)], "load_id string, files_added bigint, files_removed bigint")
+    assert rows_of(compaction.log_balance(log, metrics)) == [("l", 2, 1, 2, 1, True), ("m", 1, 0, 2, 0, False)]

@@ -77,8 +77,11 @@ def consolidated(spark: SparkSession, out: str) -> DataFrame:
 
 
 def log_balance(log: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Adds and removes per load in the log (each entry once) beside what the metrics say; ``agrees`` is false where they differ."""
-    entries = log.dropDuplicates(["log_seq"]).groupBy("load_id").agg(
+    """Adds and removes per load in the log (each entry once) beside what the metrics say; ``agrees`` is false where they differ.
+
+    An entry is a file's add or remove in a load, under however many ``log_seq`` it was written.
+    """
+    entries = log.dropDuplicates(["load_id", "log_action", "file_id"]).groupBy("load_id").agg(
         F.count_if(F.col("log_action") == "add").alias("log_added"), F.count_if(F.col("log_action") == "remove").alias("log_removed")
     )
     said = metrics.filter("load_id IS NOT NULL").groupBy("load_id").agg(F.max("files_added").alias("said_added"), F.max("files_removed").alias("said_removed"))
