@@ -70,3 +70,38 @@ def test_load_drift(spark):
     assert len(r) == 1 and r[0].degrees == 1
     assert r[0].psi == pytest.approx((0.5 - 0.8) * math.log(0.5 / 0.8) + (0.5 - 0.2) * math.log(0.5 / 0.2), abs=1e-6)
     assert r[0].chi_square == pytest.approx(2 * (1.5**2 / 6.5 + 1.5**2 / 3.5), abs=1e-6)
+
+
+@pytest.mark.parametrize("splits", [2, 64])
+def test_drift_of_many_values_is_measured_on_bins_of_the_earlier_load(spark, splits):
+    rng = random.Random(9)
+    cents = [sorted(Decimal(rng.randrange(100, 90000)) / 100 for _ in range(400)) for _ in range(3)]
+    cents[2] = [v + 300 for v in cents[2]]  # the third load is shifted
+    ids = lambda k, i: f"{k}{i:031x}" if k < 2 else f" ORDER-{i}"
+    rows = [(D[k], ids(k, i), v, 1 + i % 3, None, None) for k in range(3) for i, v in enumerate(cents[k])] + [(D[1], None, None, 1, None, None)] * 40
+    freq = profile.frequencies(spark.createDataFrame(rows, SCHEMA), "ingest_date", ["kind", "amount", "n"])
+    edges = {r.load_day: r.edges for r in profile.rulers(freq, splits=splits).filter("column_name = 'amount'").collect()}
+    for k in range(3):
+        assert edges[str(D[k])] == [float(cents[k][math.ceil(400 * i / 10) - 1]) for i in range(1, 10)]
+    got = {(r.column_name, r.load_day): r for r in profile.load_drift(freq, measures=profile.rulers(freq, splits=splits)).collect()}
+    assert len(got) == 6
+    for k in (1, 2):
+        cell = lambda v: None if v is None else sum(e < float(v) for e in edges[str(D[k - 1])])  # noqa: E731, B023
+        now, was = (Counter(cell(r[2]) for r in rows if r[0] == D[j]) for j in (k, k - 1))
+        share = lambda c, x: max(c[x] / c.total(), 1e-6)
+        r = got["amount", str(D[k])]
+        assert r.degrees == len(now | was) - 1
+        assert r.psi == pytest.approx(sum((share(now, x) - share(was, x)) * math.log(share(now, x) / share(was, x)) for x in now | was), abs=1e-5)
+    assert got["amount", str(D[2])].psi > 1 and got["kind", str(D[2])].psi > 1
+    assert got["n", str(D[1])].degrees == 2 and got["n", str(D[1])].psi < 0.02
+
+
+def test_every_payment_column_is_registered(spark, tmp_path):
+    from tidemark.plans.data_queries import QUERIES
+
+    schema = "order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value decimal(12,2), ingest_date date"
+    rows = [(f"o{d}{i}", 1, "card", 1 + i % 2, Decimal(i + 50 * d), D[d]) for d in (0, 1) for i in range(100)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/stg_order_payments.parquet")
+    psi = {r.column_name: r.psi for r in QUERIES["p5_drift_all"](spark, str(tmp_path)).collect()}
+    assert set(psi) == {"order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"}
+    assert psi["payment_value"] > 1 and psi["payment_type"] == 0

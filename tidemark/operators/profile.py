@@ -103,17 +103,62 @@ def wrong_counts(runs: DataFrame, items: DataFrame) -> DataFrame:
     return both.select("load_day", F.inline(wrong)).select(F.lit("pipeline_runs").alias("table_name"), "column_name", F.lit("recount").alias("metric"), "load_day")
 
 
-def load_drift(freq: DataFrame, floor: float = 1e-6) -> DataFrame:
+#: Pieces of equal weight that a load's numbers are cut into for comparison, and most distinct values that are compared one by one.
+BINS, MOST_VALUES = 10, 64
+
+
+def rulers(freq: DataFrame, bins: int = BINS, splits: int = 64) -> DataFrame:
+    """``(load_day, column_name, many, edges)``: what the next load of a column is measured with.
+
+    ``edges`` are the exact lower quantiles i/``bins`` of the load's numbers, NULL for a column without numbers. ``many`` says that
+    values are too many to be compared one by one: more than ``MOST_VALUES``, or more than ``bins`` and half of the rows with a value.
+    As in ``lower_median`` the numbers are cut at ``splits`` approximate quantiles and each piece is sorted for itself.
+    """
+    by = ["load_day", "column_name"]
+    known = F.col("value").isNotNull()
+    width = freq.groupBy(*by).agg(F.count_if(known).alias("values"), F.sum(F.when(known, F.col("n"))).alias("filled"))
+    many = (F.col("values") > MOST_VALUES) | (F.col("values") > bins) & (F.col("values") * 2 > F.col("filled"))
+    numbers = freq.filter("number IS NOT NULL").select(*by, "number", "n")
+    cuts = numbers.groupBy(*by).agg(F.percentile_approx("number", [i / splits for i in range(1, splits)], F.lit(1000)).alias("cuts"), F.sum("n").alias("total"))
+    at = lambda x: F.col("load_day").eqNullSafe(F.col(f"{x}_load_day")) & (F.col("column_name") == F.col(f"{x}_column_name"))
+    # one row per load and column
+    placed = numbers.join(F.broadcast(cuts).withColumnsRenamed({c: f"c_{c}" for c in by}), at("c"))
+    placed = placed.select(*by, "number", "n", "total", F.size(F.filter("cuts", lambda x: x < F.col("number"))).alias("piece"))
+    before = Window.partitionBy(*by).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(*by, "piece").agg(F.sum("n").alias("in_piece")).select(*by, "piece", F.coalesce(F.sum("in_piece").over(before), F.lit(0)).alias("skipped"))
+    # one row per load, column and piece, of which there are at most ``splits``
+    inside = placed.join(F.broadcast(sizes).withColumnsRenamed({"load_day": "s_load_day", "column_name": "s_column_name", "piece": "s_piece"}), at("s") & (F.col("piece") == F.col("s_piece")))
+    running = Window.partitionBy(*by, "piece").orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = inside.withColumn("reached", F.col("skipped") + F.sum("n").over(running))
+    edges = reached.groupBy(*by).agg(F.array(*[F.min(F.when(F.col("reached") * bins >= F.col("total") * i, F.col("number"))) for i in range(1, bins)]).alias("edges"))
+    joined = width.join(F.broadcast(edges).withColumnsRenamed({c: f"e_{c}" for c in by}), at("e"), "left")
+    return joined.select(*by, F.coalesce(many, F.lit(False)).alias("many"), "edges")
+
+
+def text_form(value: Column) -> Column:
+    """Length of a text and the kinds of characters in it: what can be compared of texts that hardly come twice."""
+    kinds = [F.when(value.rlike(regex), name).otherwise("") for regex, name in ((r"\p{Ll}", "a"), (r"\p{Lu}", "A"), (r"\d", "9"), (r"[ \t]", "_"), (r"[^\p{L}\d \t]", "-"))]
+    return F.concat(F.length(value).cast("string"), F.lit(":"), *kinds)
+
+
+def load_drift(freq: DataFrame, floor: float = 1e-6, measures: DataFrame | None = None) -> DataFrame:
     """Chi-square and population stability index of each load's value distribution against the load before it, per column.
 
     A value missing on one side counts with the share ``floor`` for the index. Columns in which every value is nearly unique
-    give large figures by nature. The first load of a column has no row.
+    give large figures by nature, unless ``measures`` (see ``rulers``) are given: where the earlier load has too many values,
+    both loads' numbers are counted in the bins of the earlier load, both loads' texts by ``text_form``; NULL stays a value of
+    its own. The first load of a column has no row.
     """
     by = ["load_day", "column_name"]
     totals = freq.groupBy(*by).agg(F.sum("n").alias("total"))
     in_order = Window.partitionBy("column_name").orderBy("load_day")
     pairs = totals.select("column_name", "load_day", "total", F.lag("load_day").over(in_order).alias("before_day"), F.lag("total").over(in_order).alias("before_total")).filter("before_day IS NOT NULL")
     value = F.coalesce("value", F.lit("\u0000null"))
+    if measures is not None:
+        # one row per load and column
+        pairs = pairs.join(F.broadcast(measures).withColumnsRenamed({"load_day": "before_day", "column_name": "m_column_name"}), ["before_day"]).filter("column_name = m_column_name").drop("m_column_name")
+        bin_of = F.size(F.filter("edges", lambda x: x < F.col("number"))).cast("string")
+        value = F.when(~F.col("many") | F.col("value").isNull(), value).when(F.col("edges").isNotNull(), bin_of).otherwise(text_form(F.col("value")))
     now = freq.join(pairs, by).select("column_name", "load_day", value.alias("v"), F.col("n").alias("now"), F.lit(0).cast("bigint").alias("was"), "total", "before_total")
     then = freq.withColumnRenamed("load_day", "before_day").join(pairs, ["column_name", "before_day"]).select("column_name", "load_day", value.alias("v"), F.lit(0).cast("bigint").alias("now"), F.col("n").alias("was"), "total", "before_total")
     each = now.unionByName(then).groupBy("column_name", "load_day", "v").agg(F.sum("now").alias("now"), F.sum("was").alias("was"), F.first("total").alias("total"), F.first("before_total").alias("before_total"))

@@ -81,10 +81,17 @@ def p5_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """The three columns of few values, value by value; ``p5_drift_all`` has every column."""
     columns = ["payment_type", "payment_installments", "payment_sequential"]
     return profile.load_drift(profile.frequencies(table(spark, sf, "stg_order_payments"), "ingest_date", columns))
 
 
+def p5_drift_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every column: few values one by one, many numbers by bins of the earlier load, many texts by their form."""
+    freq = _payment_frequencies(spark, sf)
+    return profile.load_drift(freq, measures=profile.rulers(freq))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.kept_copies(_seen(spark, sf).messages(), repeated_only=True)
 
@@ -108,5 +115,5 @@ def p7_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_counts, p2_found, p2_state, p3_found, p3_rows, p4_found, p4_records, p4_log_balance, p5_found, p5_profile, p5_drift, p6_found, p6_rows, p7_found, p7_totals)
+    for f in (p1_found, p1_counts, p2_found, p2_state, p3_found, p3_rows, p4_found, p4_records, p4_log_balance, p5_found, p5_profile, p5_drift, p5_drift_all, p6_found, p6_rows, p7_found, p7_totals)
 }
