@@ -67,3 +67,42 @@ def test_report(spark):
     df = spark.createDataFrame([(1, "a", 10, 2), (2, "b", 20, 1), (3, None, 5, 0)], "doc_id bigint, source string, n_tokens bigint, uses int")
     rows = {r.source: r for r in mixing.shares_reached(df, spark.createDataFrame([("a", 0.5, 2), ("b", 0.4, 1), ("c", 0.1, 1)], TARGETS)).collect()}
     assert rows["a"].share == 0.5 and rows["b"].most_uses == 1 and rows["c"].tokens == 0
+
+
+def test_a_source_without_documents_comes_out_short(spark):
+    targets = [("a", 0.6, 2), ("b", 0.3, 2), ("none", 0.1, 4)]
+    docs = [(10, ["a"])] * 500 + [(10, ["b"])] * 500 + [(10, ["x"])] * 100
+    sizes, wanted = spark.createDataFrame([(i, n, s, 7, 7) for i, (n, s) in enumerate(docs)], SIZES), spark.createDataFrame(targets, TARGETS)
+    rows = {r.source: r for r in mixing.shares_reached(mixing.mix(sizes, wanted), wanted, mixing.wanted_tokens(sizes, wanted)).collect()}
+    assert {s: (r.tokens, r.quota_tokens, r.short_tokens) for s, r in rows.items()} == {"a": (6000, 6000, 0), "b": (3000, 3000, 0), "none": (0, 1000, 1000)}
+
+
+def test_a_source_at_its_cap_leaves_the_others_their_quotas(spark):
+    targets = [("a", 0.5, 2), ("b", 0.4, 2), ("few", 0.1, 3)]
+    docs = [(10, ["a"])] * 500 + [(10, ["b"])] * 490 + [(10, ["few"])] * 10
+    got = mixed(spark, docs, targets)
+    tokens = defaultdict(int)
+    for _, source, n, u in got:
+        tokens[source] += n * u
+    assert tokens["a"] == 5000 and tokens["b"] == 4000 and tokens["few"] == 300
+    assert {u for _, s, _, u in got if s == "few"} == {3}
+
+
+def test_sources_that_share_too_few_documents_come_out_short_alike():
+    routes = mixing.fullest_route({("a", "b"): 100, ("c",): 900}, {"a": 0.2, "b": 0.2, "c": 0.6}, {"a": 2, "b": 2, "c": 2})
+    assert routes["a", "b"] == {"a": pytest.approx(100, abs=2), "b": pytest.approx(100, abs=2)} and routes["c",] == {"c": 600}
+
+
+def test_held_sources_add_up_to_the_greatest_flow():
+    rng = random.Random(8)
+    for _ in range(40):
+        names = "abcde"[: rng.randrange(2, 6)]
+        patterns = {tuple(sorted(rng.sample(names, rng.randrange(1, len(names) + 1)))): rng.randrange(1, 400) for _ in range(5)}
+        weights = {s: rng.random() + 0.05 for s in names}
+        shares, repeats = {s: w / sum(weights.values()) for s, w in weights.items()}, {s: rng.randrange(1, 4) for s in names}
+        quota = {s: int(shares[s] * sum(patterns.values())) for s in names}
+        greatest = sum(sum(r.values()) for r in mixing._send(patterns, quota, repeats)[0].values())
+        routes = mixing.fullest_route(patterns, shares, repeats)
+        assert abs(sum(sum(r.values()) for r in routes.values()) - greatest) <= len(names)
+        assert all(sum(r.get(s, 0) for r in routes.values()) <= quota[s] for s in names)
+        assert all(sum(r.values()) <= patterns[k] * min(repeats[s] for s in k) for k, r in routes.items())

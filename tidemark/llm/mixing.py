@@ -2,7 +2,7 @@
 
 Documents are aggregated by the set of sources they may serve; tokens are routed from these patterns to the sources' quotas by
 a min-cost flow in which the k-th use of a document costs more than the one before, so repetition is spread as thinly as the
-quotas allow. Documents are then chosen in a seeded order; running sums are taken over hash buckets, so no task sorts a source.
+quotas allow. A source that cannot fill its quota at its repeat cap stays at the cap, and the others keep theirs. Documents are then chosen in a seeded order; running sums are taken over hash buckets, so no task sorts a source.
 """
 
 from __future__ import annotations
@@ -70,10 +70,20 @@ class FlowNetwork:
             flow, cost = flow + amount, cost + amount * far[sink]
 
 
-def route(patterns: dict[tuple[str, ...], int], shares: dict[str, float], repeats: dict[str, int], total: int) -> dict[tuple[str, ...], dict[str, int]] | None:
-    """Tokens of each pattern for each source when the mix holds ``total`` tokens, or None if that many cannot be had."""
-    names, keys = sorted(shares), sorted(patterns)
-    quota = {s: int(shares[s] * total) for s in names}
+    def reached(self, source: int) -> set[int]:
+        """Nodes that more flow could still get to."""
+        seen, queue = {source}, [source]
+        while queue:
+            for edge in self.edges[queue.pop()]:
+                if edge.room > 0 and edge.to not in seen:
+                    seen.add(edge.to)
+                    queue.append(edge.to)
+        return seen
+
+
+def _send(patterns: dict[tuple[str, ...], int], quota: dict[str, int], repeats: dict[str, int]) -> tuple[dict[tuple[str, ...], dict[str, int]], set[str]]:
+    """Tokens of each pattern for each source in the greatest flow up to the quotas, and the sources that can get no more; these are none if all are filled."""
+    names, keys = sorted(quota), sorted(patterns)
     net = FlowNetwork(2 + len(keys) + len(names))
     sent = {}
     for i, key in enumerate(keys):
@@ -85,9 +95,17 @@ def route(patterns: dict[tuple[str, ...], int], shares: dict[str, float], repeat
     for j, s in enumerate(names):
         net.connect(2 + len(keys) + j, 1, quota[s], 0)
     flow, _ = net.run(0, 1)
-    if flow < sum(quota.values()):
-        return None
-    return {key: {s: sent[key, s][1] - sent[key, s][0].room for s in key} for key in keys}
+    routes = {key: {s: sent[key, s][1] - sent[key, s][0].room for s in key} for key in keys}
+    if flow == sum(quota.values()):
+        return routes, set()
+    reached = net.reached(0)
+    return routes, {s for j, s in enumerate(names) if 2 + len(keys) + j not in reached}
+
+
+def route(patterns: dict[tuple[str, ...], int], shares: dict[str, float], repeats: dict[str, int], total: int) -> dict[tuple[str, ...], dict[str, int]] | None:
+    """Tokens of each pattern for each source when the mix holds ``total`` tokens, or None if that many cannot be had."""
+    routes, short = _send(patterns, {s: int(shares[s] * total) for s in shares}, repeats)
+    return None if short else routes
 
 
 def best_route(patterns: dict[tuple[str, ...], int], shares: dict[str, float], repeats: dict[str, int], wanted: int | None = None) -> tuple[int, dict[tuple[str, ...], dict[str, int]]]:
@@ -104,13 +122,41 @@ def best_route(patterns: dict[tuple[str, ...], int], shares: dict[str, float], r
     return low, best
 
 
+def fullest_route(patterns: dict[tuple[str, ...], int], shares: dict[str, float], repeats: dict[str, int], wanted: int | None = None) -> dict[tuple[str, ...], dict[str, int]]:
+    """Routes of a mix of ``wanted`` tokens (all tokens once, by default) in which each source gets its quota or, failing that, what there is for it.
+
+    All quotas are raised together; the sources that then can get no more, alone or between them, are held where they are and the
+    others raised further. So this is a greatest flow, and sources that compete for the same documents come out short alike.
+    """
+    high = wanted if wanted is not None else sum(patterns.values())
+    held: dict[str, int] = {}
+
+    def attempt(total: int) -> tuple[dict[tuple[str, ...], dict[str, int]], set[str]]:
+        return _send(patterns, {s: held.get(s, int(shares[s] * total)) for s in shares}, repeats)
+
+    low, (routes, short) = 0, attempt(high)
+    while short:
+        above = high
+        while above - low > 1:
+            middle = (low + above) // 2
+            _, lacking = attempt(middle)
+            if lacking:
+                above, short = middle, lacking
+            else:
+                low = middle
+        held |= {s: int(shares[s] * low) for s in short - held.keys()}
+        routes, short = attempt(high)
+    return routes
+
+
 def mix(sizes: DataFrame, targets: DataFrame, seed: int = 42, wanted: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """``(doc_id, source, n_tokens, uses)``: how often each document is used for which source.
 
     ``sizes`` has ``doc_id``, ``n_tokens`` and ``sources`` (array of the sources a document may serve) and should be stored.
     Documents of no target source, and such without tokens, come out with 0 uses and a NULL source if nothing uses them; a
     document of several sources has a row for each source that uses it. Shares are taken relative to their sum; a source with
-    no share or without repeats is no target. The same seed gives the same choice, however the input is partitioned.
+    no share or without repeats is no target. A source that has too little for its share of ``wanted`` tokens (all tokens once, by
+    default) comes out short, each of its documents at the cap, while the others fill theirs. The same seed gives the same choice, however the input is partitioned.
     """
     rows = targets.filter("target_share > 0 AND max_repeats > 0 AND source IS NOT NULL").collect()  # a fixed small table
     whole = sum(r.target_share for r in rows)
@@ -121,7 +167,7 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 42, wanted: int | None
     if len(sums) > MOST_PATTERNS:
         raise ValueError(f"more than {MOST_PATTERNS} sets of sources")
     patterns = {tuple(r.pattern.split("\u0001")): r.t for r in sums}
-    _, routes = best_route(patterns, shares, repeats, wanted) if shares else (0, {})
+    routes = fullest_route(patterns, shares, repeats, wanted) if shares else {}
 
     # along a line of (k-th use, place in the seeded order) every source has one interval of tokens
     spans = []
@@ -154,9 +200,27 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 42, wanted: int | None
     return used.unionByName(rest).select("doc_id", "source", "n_tokens", F.coalesce("uses", F.lit(0)).alias("uses"))
 
 
-def shares_reached(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per target source: documents and tokens used, its share of all tokens used, the target share and the most uses of a document."""
+def wanted_tokens(sizes: DataFrame, targets: DataFrame) -> int:
+    """Tokens of all documents that some target source may use, once: what ``mix`` makes its quotas of by default."""
+    names = [r.source for r in targets.filter("target_share > 0 AND max_repeats > 0 AND source IS NOT NULL").collect()]
+    wantable = F.array(*[F.lit(s) for s in names]) if names else F.array().cast("array<string>")
+    return sizes.filter(F.arrays_overlap("sources", wantable)).agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+
+
+def shares_reached(mixed: DataFrame, targets: DataFrame, wanted: int | None = None) -> DataFrame:
+    """Per target source: documents and tokens used, its share of all tokens used, the target share and the most uses of a document.
+
+    With ``wanted``, the tokens that the mix was to hold, also the source's quota of them and how many tokens are missing from it.
+    As documents are used whole, a few tokens, less than a document, may be missing from a source that has enough.
+    """
     per = mixed.filter("uses > 0").groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.col("uses") * F.col("n_tokens")).alias("tokens"), F.max("uses").alias("most_uses"))
     joined = targets.select("source", "target_share", "max_repeats").join(per, "source", "left").fillna({"documents": 0, "tokens": 0, "most_uses": 0})
-    total = F.sum("tokens").over(Window.partitionBy())  # over one row per target source
-    return joined.withColumn("share", F.round(F.when(total > 0, F.col("tokens") / total), 9))
+    one_row = Window.partitionBy()  # over one row per target source
+    total = F.sum("tokens").over(one_row)
+    out = joined.withColumn("share", F.round(F.when(total > 0, F.col("tokens") / total), 9))
+    if wanted is None:
+        return out
+    is_target = F.col("source").isNotNull() & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
+    whole = F.sum(F.when(is_target, F.col("target_share"))).over(one_row)
+    quota = F.when(is_target, F.floor(F.col("target_share") / whole * wanted)).otherwise(0)
+    return out.withColumn("quota_tokens", quota.cast("bigint")).withColumn("short_tokens", F.greatest(F.col("quota_tokens") - F.col("tokens"), F.lit(0)))

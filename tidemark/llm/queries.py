@@ -26,13 +26,17 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill(p8_pack(spark, sf), table(spark, sf, "container_sizes"))
 
 
+def _by_source(spark: SparkSession, sf: str) -> DataFrame:
+    return _sizes(spark, sf, f"{work_dir(spark, 'p9')}/sizes", "source").withColumn("sources", F.array("source"))
+
+
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
-    sizes = _sizes(spark, sf, f"{work_dir(spark, 'p9')}/sizes", "source")
-    return mixing.mix(sizes.withColumn("sources", F.array("source")), table(spark, sf, "mix_targets"))
+    return mixing.mix(_by_source(spark, sf), table(spark, sf, "mix_targets"))
 
 
 def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.shares_reached(p9_mix(spark, sf), table(spark, sf, "mix_targets"))
+    sizes, targets = _by_source(spark, sf), table(spark, sf, "mix_targets")
+    return mixing.shares_reached(mixing.mix(sizes, targets), targets, mixing.wanted_tokens(sizes, targets))
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
