@@ -67,3 +67,34 @@ def test_operator(spark):
     assert sorted(r.doc_id for r in keyword_pages(docs).collect()) == [1, 5, 6]  # copies of a case are cases, pages without text are none
     assert keyword_pages(docs.drop("raw")).count() == 3
     assert keyword_pages(docs.limit(0)).count() == 0
+
+
+PHRASE = "Buy cheap running shoes online today with free fast delivery from trusted brands."
+REPEATED = {
+    "one sentence": (PHRASE + " ") * 30,
+    "one line": "\n".join([PHRASE] * 30),
+    "on end in prose": PROSE + " " + (PHRASE + " ") * 4,
+    "places": " ".join(f"Buy cheap running shoes online in {c} with free fast delivery from trusted brands." for c in "Berlin Paris Rome Madrid Oslo Bern Vienna Prague Riga Kyiv".split()),
+    "german": "Jetzt günstige Laufschuhe online kaufen mit schneller Lieferung für alle, die sparen wollen und nicht warten. " * 12,
+    "russian": "Купите дешёвые беговые кроссовки с быстрой доставкой на дом и не ждите завтрашнего утра. " * 12,
+    "separators": "lamp * heavy oven * pale canoe * ticket * drill * old saddle * bridge * kettle * late harbour * hotel * window * boiler",
+    "numbered links": "\n".join(f"{i}. [cheap lamp](http://shop{i}.example/lamp-{i})" for i in range(1, 13)),
+}
+VERSES = "keeper crew widow miller baker tailor".split()
+TOLD = {
+    "chorus": "\n".join(f"The {w} went down to the sea at night and was not seen again.\nAnd the rain, the rain came over the hill to us." for w in VERSES),
+    "chorus twice": "\n".join(f"The {w} went down to the sea at night and was not seen again by any of us.\nAnd the rain came over the hill.\nAnd the rain came over the hill." for w in VERSES),
+    "measures": " ".join(f"The water at the gauge of the {p} bridge stood at {n} cm in the morning of the same day." for n, p in enumerate("upper lower old new stone iron".split(), 131)),
+    "numbered references": "\n".join(f"{i}. {a} {t}, http://lib.example/{i}.html" for i, (a, t) in enumerate(zip("Alder Bach Conte Duval Ekman Faber Gorki".split(), "Tides Bells Mills Ferries Storms Bridges Lamps".split(), strict=True), 1)),
+    "formulas": "\n".join(f"The sum of {a} and {b} is what we call {c} in the rest of the text." for a, b, c in zip("abcdef", "ghijkl", "mnopqr", strict=True)) + "\n" + PROSE * 3,
+}
+
+
+@pytest.mark.parametrize("name", REPEATED)
+def test_repeated_sentences_separators_and_numbered_labels(name):
+    assert keyword_share(REPEATED[name], None) > 0.5
+
+
+@pytest.mark.parametrize("name", TOLD)
+def test_refrains_measures_and_references_are_no_cases(name):
+    assert keyword_share(TOLD[name], None) <= 0.5

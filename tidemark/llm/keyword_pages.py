@@ -1,8 +1,9 @@
 """Pages made of keywords, links or tags in place of sentences.
 
 Every line of a page's own text is measured: share of the commonest word, share of link text, density of separators, repeated
-pieces, share of function words. Thresholds are per language, found by function words rather than by the page's own claim. A
-page is a case if more than half of its characters lie in lines or sentences that only string keywords or links together.
+pieces, sentences and runs of words, share of function words. Thresholds are per language, found by function words rather than
+by the page's own claim. A page is a case if more than half of its characters lie in lines or sentences that only string
+keywords or links together or repeat one phrase.
 """
 
 from __future__ import annotations
@@ -21,30 +22,44 @@ from tidemark.session import ship_package, spread
 
 @dataclass(frozen=True)
 class Thresholds:
-    """``function``: least share of function words in running text; ``top``: least share of the commonest content word in stuffed text."""
+    """Least shares and densities.
+
+    ``function``: function words in running text; ``top``: commonest content word in stuffed text; ``copies``: repeated sentences
+    among all, above what refrains reach; ``runs``: words of sentences in repeated runs of words; ``separators``: separators per word.
+    """
 
     function: float
     top: float
+    copies: float
+    runs: float
+    separators: float
 
 
-#: By language of the page; languages without articles have fewer function words.
+#: By language of the page; languages without articles have fewer function words. ``copies`` and ``runs`` lie about 0.1 above the
+#: highest share on pages of sf0.1 that were no cases by the other measures, ``separators`` above the highest density, 0.5 in each language.
 LANGUAGE_THRESHOLDS = {
-    "en": Thresholds(0.16, 0.13),
-    "de": Thresholds(0.16, 0.13),
-    "fr": Thresholds(0.16, 0.13),
-    "es": Thresholds(0.16, 0.13),
-    "pl": Thresholds(0.10, 0.13),
-    "ru": Thresholds(0.08, 0.13),
+    "en": Thresholds(0.16, 0.13, 0.60, 0.65, 0.55),
+    "de": Thresholds(0.16, 0.13, 0.56, 0.65, 0.55),
+    "fr": Thresholds(0.16, 0.13, 0.60, 0.73, 0.55),
+    "es": Thresholds(0.16, 0.13, 0.59, 0.63, 0.55),
+    "pl": Thresholds(0.10, 0.13, 0.59, 0.61, 0.55),
+    "ru": Thresholds(0.08, 0.13, 0.55, 0.60, 0.55),
 }
 #: Least number of pieces in a row of keywords, and of repetitions of a stuffed word.
 LEAST_PIECES, LEAST_REPEATS = 6, 8
 
+#: Words in a run, least number of times a run or a sentence comes again, least share of the sentences that hold a repeated run,
+#: and copies of a sentence on end that no refrain has.
+RUN, LEAST_RUNS, LEAST_COPIES, RUN_SHARE, ON_END = 5, 4, 3, 0.1, 4
+
 _URL = re.compile(r"(?i)\b(?:https?://|ftp://|www\.)\S+|\b(?:[a-z0-9-]{1,63}\.){1,6}[a-z]{2,8}/\S*|\b(?:[a-z0-9-]{1,63}\.){1,6}(?:example|test|invalid|com|org|net|info|biz)\b")
 _BBCODE = re.compile(r"(?i)\[/?url[^\[\]]*\]")
 _MARKDOWN = re.compile(r"\[([^\[\]\n]*)\]\(([^()\n]*)\)")
 _REFERENCE = re.compile(r"^\s*\[\d+\]|^\s*\(?\d+[.)]\s")
 _LABEL = re.compile(r"(?i)^\s*(?:tags?|keywords?|labels?|schlagw\w+|mots[- ]cl\w+|etiquetas?|tagi|теги|метки)\s*[:=]")
 _PIECES = re.compile(r"(?<=[.!?…])\s+|\s?[|·»«•;/→]+\s?|\s[-–—]+\s|\s{2,}|[()]")
+#: Signs that stand between keywords without being blanks or commas.
+_SEPARATOR = re.compile(r"[|·»«•;/→*~+^=<>\\_]")
 _SENTENCE_END = re.compile(r"[.!?…][\"”»')]*$")
 #: Rows of facts: times, amounts with units, name and value, log lines, posts with author and time.
 _FACT = re.compile(r"^\W*\d{1,2}:\d\d|^\W*\d+(?:[.,]\d+)?\s*(?:[^\W\d_]{1,4}\b|[€$£%])\s+\S|^[^\W\d_]+(?: [^\W\d_]+)?\s*[:=]\s*[^\s;|]+(?:\s+[^\W\d_]{1,3})?$|\w_\d{1,9},\s?\d|\w=\d|\d{1,2}[:.]\d\d$")
@@ -74,6 +89,53 @@ def _is_names(pieces: list[str]) -> bool:
     return bool(words) and all(w[0].isupper() and not w.isupper() for w in words) and len(set(words)) > 0.75 * len(words)
 
 
+def _repeated(sentences: list[tuple[str, list[str], int]], limits: Thresholds) -> set[int]:
+    """Places of sentences that only repeat one phrase: copies, or the same long runs of words with other words between them.
+
+    Copies up to the share ``copies`` may be a refrain, unless they follow on each other. Of sentences that differ in a few words,
+    those with digits there inform, and those with twice the function words of running text are verses, entries and the like.
+    """
+    long = [(i, tuple(ws), len(t)) for i, (t, ws, _) in enumerate(sentences) if len(ws) >= 4]
+    if len(long) < LEAST_COPIES:
+        return set()
+    chars = sum(n for *_, n in long)
+    tally = Counter(ws for _, ws, _ in long)
+    copied = [x for x in long if tally[x[1]] >= LEAST_COPIES]
+    found = set()
+    if sum(n for *_, n in copied) > limits.copies * chars:
+        found |= {i for i, *_ in copied}
+    elif copied:
+        start = 0
+        for end in range(1, len(long) + 1):
+            if end == len(long) or long[end][1] != long[start][1]:
+                if end - start >= ON_END:
+                    found |= {i for i, *_ in long[start:end]}
+                start = end
+    runs: Counter[tuple[str, ...]] = Counter()
+    for _, ws, _ in long:
+        runs.update(set(zip(*(ws[k:] for k in range(RUN)))))
+    least = max(LEAST_RUNS, RUN_SHARE * len(long))
+    often = {run for run, n in runs.items() if n >= least}
+    if not often:
+        return found
+    within, covered = [], 0
+    for i, ws, _ in long:
+        hit = [False] * len(ws)
+        for k, run in enumerate(zip(*(ws[k:] for k in range(RUN)))):
+            if run in often:
+                hit[k : k + RUN] = [True] * RUN
+        covered += sum(hit)
+        if 2 * sum(hit) >= len(ws) and function_share(list(ws)) < 2 * limits.function and not any(_DIGIT.search(w) for w, h in zip(ws, hit, strict=True) if not h):
+            within.append(i)
+    return found | set(within) if covered > limits.runs * sum(len(ws) for _, ws, _ in long) else found
+
+
+def _is_labels(labels: list[list[str]]) -> bool:
+    """Whether short labels of links turn around one content word, as those of references never do."""
+    tally = Counter(w for ws in labels for w in {*ws} if w not in FUNCTION and not w.isdigit())
+    return len(labels) >= LEAST_PIECES and sum(len(ws) <= 5 for ws in labels) >= 0.8 * len(labels) and bool(tally) and tally.most_common(1)[0][1] >= 0.5 * len(labels)
+
+
 def keyword_share(text: str | None, raw: bytes | None) -> float:
     """Share of the page's own characters that lie in strung-together keywords, links or tags; 0 for a page without text."""
     lines = body_lines(text, raw)
@@ -89,13 +151,15 @@ def keyword_share(text: str | None, raw: bytes | None) -> float:
     on_line: dict[int, list[str]] = {}  # words of lines with sentences
     items: list[tuple[str, list[str]]] = []  # pieces that are no sentences
     bare: list[tuple[int, int]] = []  # characters and links of lines that are only links
+    numbered: list[tuple[int, int, list[str]]] = []  # characters, links and words of numbered lines with links
     for number, line in enumerate(lines):
         if links and ("://" in line or "](" in line or _DOTTED.search(line) and _URL.search(line)):
             shown = _BBCODE.sub(" ", _MARKDOWN.sub(r" \1 ", line))
             rest = _URL.sub(" ", shown)
             words = words_of(rest)
             if _REFERENCE.match(line):
-                continue  # a reference with its source
+                numbered.append((len(line), len(_URL.findall(shown)) or 1, [w for w in words if not w.isdigit()]))
+                continue  # a reference with its source, unless all are labelled with a keyword
             if len(words) >= 5 and function_share(words) >= limits.function:
                 link_text = len(line) - len(rest)
                 per_link = len(words) / max(1, len(_URL.findall(shown)))
@@ -120,6 +184,10 @@ def keyword_share(text: str | None, raw: bytes | None) -> float:
             continue
         if (":" in line or "=" in line or _DIGIT.search(line)) and _FACT.search(line) and not re.search(r"(?i)\btop \d+\b", line):
             continue
+        dense = len(_SEPARATOR.findall(line))
+        if dense >= LEAST_PIECES and dense > limits.separators * len(words_of(line)):
+            items += [(p, words_of(p)) for p in map(plain, _SEPARATOR.split(line)) if words_of(p)]
+            continue
         for piece in _PIECES.split(line):
             if not piece or not piece.strip():
                 continue
@@ -137,6 +205,8 @@ def keyword_share(text: str | None, raw: bytes | None) -> float:
                 items += [(c, words_of(c)) for c in commas]
             else:
                 items.append((piece, words))
+    if _is_labels([ws for *_, ws in numbered]):
+        bare += [x[:2] for x in numbered]
     described = sum(1 for _, w, _ in sentences if len(w) >= 5)
     # a list of links in which each has its sentence on another line informs
     if described < 0.7 * sum(n for _, n in bare):
@@ -145,9 +215,11 @@ def keyword_share(text: str | None, raw: bytes | None) -> float:
     counts = Counter(content)
     least = lambda n: n >= LEAST_REPEATS and n >= limits.top * len(content) or n >= 5 and n >= 0.22 * len(content)
     top = {w for w, n in counts.items() if least(n)}
+    turning = _repeated(sentences, limits)
     if top:  # sentences that turn around one phrase
         stuffed = {n for n, ws in on_line.items() if (hits := sum(w in top for w in ws)) >= 3 and hits >= limits.top * sum(w not in FUNCTION for w in ws)}
-        spam += sum(len(t) for t, ws, n in sentences if n in stuffed or (hits := sum(w in top for w in ws)) >= 2 or hits and len(ws) <= 5 * hits)
+        turning |= {i for i, (_, ws, n) in enumerate(sentences) if n in stuffed or (hits := sum(w in top for w in ws)) >= 2 or hits and len(ws) <= 5 * hits}
+    spam += sum(len(sentences[i][0]) for i in turning)
     if items:
         item_words = [w for _, ws in items for w in ws if not w.isdigit()]
         tally = Counter(item_words)
