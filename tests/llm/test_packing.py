@@ -60,3 +60,10 @@ def test_empty_and_bad_kinds(spark, tmp_path):
     assert run(spark, tmp_path / "a", []) == []
     assert run(spark, tmp_path / "b", [5, 6], kinds=(("z", 0, ""), ("n", None, ""))) == []
     assert len(run(spark, tmp_path / "c", [5, 5], kinds=(("s", 50, ""), ("s", 50, "")))) == 2  # a kind given twice counts once
+
+
+def test_leftovers_of_a_single_task_are_packed_again_largest_first(spark, tmp_path):
+    sizes = [133, 241] * 30  # 133 three times leaves 1, so in any order but largest first some 241 stay alone
+    got = run(spark, tmp_path / "a", sizes, kinds=(("l", 400, ""),), most=128)
+    assert sorted((doc, n) for _, _, doc, _, n in got) == list(enumerate(sizes))
+    assert len({c for _, c, *_ in got}) == 30

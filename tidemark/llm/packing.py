@@ -2,7 +2,7 @@
 
 Bounded-space online packing: a task holds a fixed number of open containers, puts each item into the one it fits best, and
 when none fits closes the fullest and opens a new one. What is still open at a task's end is dealt anew to fewer tasks, item by
-item, until one task closes the rest. A task never holds more than its open containers and one Arrow batch.
+item, largest first, until one task closes the rest; that is so for a single task's leftovers too. A task never holds more than its open containers and one Arrow batch.
 """
 
 from __future__ import annotations
@@ -124,7 +124,7 @@ def pack(spark: SparkSession, sizes: DataFrame, kinds: DataFrame, path: str, mos
     current = items.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", F.lit("first")), F.lit(buckets)))
     done, number = [], 0
     while True:
-        last = buckets == 1
+        last = buckets == 1 and number > 0
         _pack_round(current, number, last, most, largest_first=number > 0).write.mode("overwrite").partitionBy("closed").parquet(f"{path}/round={number}")
         placed = spark.read.schema(_PLACED).parquet(f"{path}/round={number}")
         done.append(placed.filter("closed").select("container_kind", "container_id", "doc_id", "piece", "n_tokens"))
