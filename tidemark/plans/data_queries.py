@@ -17,6 +17,18 @@ def _references(spark: SparkSession, sf: str) -> list[DataFrame]:
     return [table(spark, sf, t) for t in REFERENCE_TABLES]
 
 
+#: Batches in which p2 and p6 take their table; p2 compacts at 8 runs, so a run comes after the compaction.
+P2_BATCHES, P6_BATCHES = 9, 4
+
+
+def sliced(spark: SparkSession, source: str, path: str, by: str, batches: int, columns: tuple[str, ...] = ()) -> tuple[str, int]:
+    """A copy of a table (of ``columns``, all by default) in files by ranges of ``by``, and how many of them make one of ``batches``: a file stream cannot divide a single file."""
+    each = spark.sparkContext.defaultParallelism
+    rows = spark.read.parquet(source)
+    rows.select(*(columns or rows.columns)).repartitionByRange(batches * each, by).write.parquet(path)
+    return path, each
+
+
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return orphans.find_orphans(*_references(spark, sf))
 
@@ -30,7 +42,9 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_state(spark: SparkSession, sf: str) -> DataFrame:
-    return lsm.apply_feed(spark, table_path(sf, "order_changes"), work_dir(spark, "p2")).read()
+    work = work_dir(spark, "p2")
+    source, each = sliced(spark, table_path(sf, "order_changes"), f"{work}/feed", "kafka_offset", P2_BATCHES)
+    return lsm.apply_feed(spark, source, work, max_files=each).read()
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,7 +111,9 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _seen(spark: SparkSession, sf: str) -> dedup.SeenStore:
-    return dedup.dedup_stream(spark, table_path(sf, "bronze_orders"), work_dir(spark, "p6"))
+    work = work_dir(spark, "p6")
+    source, each = sliced(spark, table_path(sf, "bronze_orders"), f"{work}/arrivals", "kafka_timestamp", P6_BATCHES, (*dedup.KEY, "kafka_timestamp", "kafka_partition", "kafka_offset"))
+    return dedup.dedup_stream(spark, source, work, max_files=each)
 
 
 def p6_rows(spark: SparkSession, sf: str) -> DataFrame:
