@@ -56,10 +56,9 @@ def cycles(spark, root):
 
     def load(rows, name):
         made = house.bronze.append(rows, {"load-id": name})
-        before = {f.path for f in house.bronze.snapshot(made.parent_id).files} if made.parent_id else set()
         from tidemark.sources import files as control
 
-        control.write_json(spark, f"{house.root}/outbox/{made.snapshot_id:09d}-{name}.json", {"version": 1, "load_id": name, "source_paths": [], "bronze_data_files": [f.path for f in made.files if f.path not in before], "row_count": 0})
+        control.write_json(spark, f"{house.root}/outbox/{made.snapshot_id:09d}-{name}.json", {"version": 1, "load_id": name, "source_paths": [], "bronze_data_files": house.bronze.added_files(made), "row_count": 0})
 
     load(data, "l1")
     house.project()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import versions
 from tidemark.plans import lakehouse as lh
+from tidemark.sources import files as control
 
 EVENTS = "order_id string, customer string, amount double, country string, status string, event_time timestamp, kafka_timestamp timestamp, kafka_partition int, kafka_offset bigint, event_date date, business_version bigint"
 T = dt.datetime(2026, 8, 7, 12)
@@ -90,6 +91,75 @@ def test_crash_at_every_seam(spark, tmp_path, step):
     assert len(again.silver.versions()) == 1  # replay made no second snapshot
 
 
+def test_crash_at_every_change_of_a_control_file(spark, tmp_path, monkeypatch):
+    """Bronze is never doubled and nothing is lost, whichever control file the crash comes before, within or after."""
+    landing = Landing(spark, str(tmp_path))
+    landing.add([row("a", 1, 1), row("b", 1, 2)])
+    calls, at = 0, 0
+    while True:
+        root = str(tmp_path / f"lake{at}")
+        calls = 0
+
+        def crash(name, path, at=at):
+            nonlocal calls
+            calls += 1
+            if calls == at + 1:
+                raise RuntimeError(f"{name} {path}")
+
+        house = lh.Lakehouse(spark, root)
+        monkeypatch.setattr(control, "step", crash)
+        try:
+            house.ingest(landing.path)
+            house.project()
+            finished = True
+        except RuntimeError:
+            finished = False
+        monkeypatch.setattr(control, "step", lambda name, path: None)
+        if finished:
+            break
+        again = lh.Lakehouse(spark, root)
+        again.recover(landing.path)
+        again.ingest(landing.path)
+        again.project()
+        assert again.bronze.snapshot().summary["total-records"] == 2 and again.silver.snapshot().summary["total-records"] == 2, at
+        assert again.outbox() == [] and len(again.silver.versions()) == len(again.bronze.versions()) == 1
+        at += 3 if at > 8 else 1  # every change before the first commit, then before or within each
+    assert at > 20 and state(again) == [("a", 1, 1.0), ("b", 1, 1.0)]
+
+
+def test_a_committed_load_is_known_after_its_version_has_expired(spark, tmp_path):
+    now = [1000.0]
+    landing, house = Landing(spark, str(tmp_path)), lh.Lakehouse(spark, str(tmp_path / "lake"), clock=lambda: now[0])
+    landing.add([row("a", 1, 1)])
+
+    def crash(step):
+        if step == "appended":
+            raise RuntimeError(step)
+
+    house.seam = crash
+    with pytest.raises(RuntimeError):
+        house.ingest(landing.path)
+    house.seam = lh.NOTHING
+    for _ in range(3):  # other commits, then a pause longer than any retention
+        now[0] += 1e6
+        house.bronze.append(house.bronze.read().filter("order_id = 'a'").withColumn("order_id", F.lit("x")))
+    assert house.bronze.expire_snapshots(now[0], retain_last=1) == 3
+    house.recover(landing.path)
+    assert house.bronze.read().filter("order_id = 'a'").count() == 1 and len(house.outbox()) == 1
+    house.project()
+    assert ("a", 1, 1.0) in state(house)
+
+
+def test_torn_and_hidden_files_are_passed_over(spark, tmp_path):
+    landing, house = Landing(spark, str(tmp_path)), lh.Lakehouse(spark, str(tmp_path / "lake"))
+    landing.add([row("a", 1, 1)])
+    house.ingest(landing.path)
+    for folder in ("bronze/metadata", "control", "outbox"):  # what a crash within a write leaves
+        (tmp_path / "lake" / folder / ".v000000009.json.0.tmp").write_text('{"torn')
+    house.project()
+    assert state(house) == [("a", 1, 1.0)] and house.bronze.versions() == [1]
+
+
 def test_small_contracts(spark):
     assert lh.plain_uri("s3a://b/k/x") == "b/k/x" and lh.plain_uri("b/k") == "b/k"
     with pytest.raises(ValueError):

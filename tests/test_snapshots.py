@@ -39,7 +39,7 @@ def test_append_replace_time_travel(spark, tmp_path, layout):
     second = t.append(rows(spark, [("z1", 1, 1, 2.0)]), {"load-id": "l2"})
     made, cost = t.replace_keys(rows(spark, [("k001", 5, 2, 9.0), ("new", 0, 1, 1.0)]), {"silver-work-id": "w"})
     assert made.parent_id == second.snapshot_id and cost.snapshot_delta == 1
-    assert cost.files_removed <= cost.files_planned <= len(second.files) and cost.files_removed >= 1
+    assert cost.files_removed <= cost.files_planned <= second.summary["total-files"] and cost.files_removed >= 1
     now = t.read()
     assert now.count() == 63 and state(now.filter("order_id = 'k001'")) == [("k001", 2)]
     assert now.filter("event_date IS NULL").count() == 1
@@ -66,17 +66,73 @@ def test_bucket_layout_plans_fewer_files(spark, tmp_path):
     assert planned["bucket(16)"] < planned["day"]
 
 
-def test_few_and_many_keys_choose_alike(spark, tmp_path, monkeypatch):
+def test_more_keys_than_spans_still_choose(spark, tmp_path, monkeypatch):
     t = table(spark, tmp_path / "t")
     for d in range(3):
         t.append(rows(spark, [(f"k{d}{i}", d, 1, 1.0) for i in range(5)]))
     keys = spark.createDataFrame([("k03",), ("k21",), (None,)], "order_id string")
     assert t.plan_cost(keys)[0] == 2 and t.read_keys(keys).count() == 2
-    monkeypatch.setattr("tidemark.sources.snapshots.LISTED_KEYS", 1)
-    assert t.plan_cost(keys)[0] == 3 and t.read_keys(keys).count() == 2  # by the span of all keys
+    monkeypatch.setattr("tidemark.sources.snapshots.KEY_SPANS", 1)
+    assert 2 <= t.plan_cost(keys)[0] <= 3 and t.read_keys(keys).count() == 2
     assert t.read_keys(keys.limit(0)).count() == 0
 
 
+def test_many_random_keys_are_pruned(spark, tmp_path, monkeypatch):
+    """1,001 keys over half of the key space, more than there are spans: files of the other half are not planned."""
+    monkeypatch.setattr("tidemark.sources.snapshots.KEY_SPANS", 64)
+    t = table(spark, tmp_path / "t", layout=None)
+    t._write = lambda rows, max_rows=0, write=t._write: write(rows, 100)  # many files, each a short span
+    t.append(rows(spark, [(f"k{i:05d}", 0, 1, 1.0) for i in range(8000)]).coalesce(1))
+    keys = spark.createDataFrame([(f"k{(i * 7919) % 4000:05d}",) for i in range(1001)], "order_id string")
+    planned, there = t.plan_cost(keys)[0], t.plan_cost()[0]
+    assert there == 80 and planned <= 41
+    assert t.read_keys(keys).count() == keys.distinct().count()
+
+
+def test_a_day_with_most_rows_gives_several_files(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        t = table(spark, tmp_path / "t")
+        data = spark.range(200_000).selectExpr("sha2(cast(id AS string), 256) AS order_id", "date_add(date'2020-01-01', IF(id % 10 = 0, cast(id % 70 AS int), 0)) AS event_date", "id AS business_version", "1.0D AS amount").repartition(8)
+        t.append(data)
+        per_day = {r.part: (r.n, r.rows) for r in t.files().groupBy("part").agg(F.count("path").alias("n"), F.sum("rows").alias("rows")).collect()}
+        assert sum(n for _, n in per_day.values()) == 200_000
+        hot = per_day["2020-01-01"]
+        assert hot[1] > 180_000 and hot[0] >= 4
+        assert sum(files for day, (files, _) in per_day.items() if day != "2020-01-01") <= 40
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+
+
+def test_buckets_double_as_the_table_grows(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path / "t", layout="bucket")
+    monkeypatch.setattr("tidemark.sources.snapshots.LEAST_BUCKETS", 2)
+    t.append(rows(spark, [(f"k{i}", 0, 1, 1.0) for i in range(50)]))
+    assert {r.part.split("-of-")[1] for r in t.files().collect()} == {"2"}
+    monkeypatch.setattr("tidemark.sources.snapshots.BUCKET_BYTES", t.snapshot().summary["total-bytes"] // 3)
+    t.append(rows(spark, [(f"n{i}", 0, 1, 1.0) for i in range(50)]))
+    assert {r.part.split("-of-")[1] for r in t.files().collect()} == {"2", "4"}
+    keys = spark.createDataFrame([("k7",), ("n7",)], "order_id string")
+    assert state(t.read_keys(keys)) == [("k7", 1), ("n7", 1)]
+    t.replace_keys(rows(spark, [("k7", 0, 2, 1.0), ("n7", 0, 2, 1.0)]))
+    assert state(t.read_keys(keys)) == [("k7", 2), ("n7", 2)] and t.read().count() == 100
+    t.optimize(0)
+    assert len({r.part.split("-of-")[1] for r in t.files().collect()}) == 1 and t.read().count() == 100
+
+
+def test_lists_are_rebased_and_evidence_outlives_versions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sources.snapshots.CHANGES_KEPT", 2)
+    t = table(spark, tmp_path / "t")
+    for i in range(5):
+        t.append(rows(spark, [(f"k{i}", i, 1, 1.0)]), {"load-id": f"l{i}"})
+    assert t.snapshot().base and len(t.snapshot().changes) <= 2
+    assert state(t.read()) == [(f"k{i}", 1) for i in range(5)] and state(t.read(2)) == [("k0", 1), ("k1", 1)]
+    assert t.expire_snapshots(older_than=Clock.now + 10, retain_last=1) == 4 and t.versions() == [5]
+    assert [t.find(load_id=f"l{i}").snapshot_id for i in range(5)] == [1, 2, 3, 4, 5] and t.find(load_id="l9") is None
+    assert t.remove_orphans(older_than=4e9) == 0 and t.read().count() == 5
+
+
 def test_additive_schema(spark, tmp_path):
     t = table(spark, tmp_path / "t")
     t.append(rows(spark, [("a", 0, 1, 1.0)]).drop("business_version"))
@@ -120,7 +176,7 @@ def test_services(spark, tmp_path):
     before = sorted(tuple(r) for r in t.read().collect())
     pinned = t.snapshot().snapshot_id
     assert t.optimize(1 << 20).operation == "optimize"
-    assert sorted(tuple(r) for r in t.read().collect()) == before and len(t.snapshot().files) == 1
+    assert sorted(tuple(r) for r in t.read().collect()) == before and t.snapshot().summary["total-files"] == t.files().count() == 1
     assert t.optimize(1 << 20) is None
     assert t.read(pinned).count() == 4
     assert t.expire_snapshots(older_than=Clock.now + 10, retain_last=2) == 3

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.session import path_exists
+from tidemark.sources import files as control
 from tidemark.sources.tables import stream_path
 
 #: A live file with fewer bytes than this is consolidated.
@@ -71,7 +71,7 @@ def compact_stream(
 
 
 def consolidated(spark: SparkSession, out: str) -> DataFrame:
-    if not path_exists(spark, f"{out}/data"):
+    if not control.exists(spark, f"{out}/data"):
         return spark.createDataFrame([], "event_date date, bundle bigint, file_id bigint, body_bytes int, line_no int, record string, batch_id int")
     return spark.read.parquet(f"{out}/data")
 

@@ -9,12 +9,10 @@ expired is never taken for new.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import plain_key
-from tidemark.session import path_exists
+from tidemark.sources import files as control
 from tidemark.sources.tables import stream_path
 
 MESSAGES = "event_id string, canonical_payload_hash string, kept struct<no_time: boolean, kafka_timestamp: timestamp_ntz, kafka_partition: int, kafka_offset: bigint>, n bigint, last_seen timestamp_ntz"
@@ -45,19 +43,15 @@ class SeenStore:
     def __init__(self, spark: SparkSession, path: str, horizon: str = "1 day") -> None:
         self.spark, self.path, self.horizon = spark, path.rstrip("/"), horizon
 
-    def _commit_file(self, number: int):
-        jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits/{number}.json")
-        return jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
-
     def commits(self, before: int | None = None) -> dict[int, str | None]:
         """Watermark after each committed batch."""
-        if not path_exists(self.spark, f"{self.path}/commits"):
+        if not control.exists(self.spark, f"{self.path}/commits"):
             return {}
         rows = self.spark.read.schema("batch int, watermark string").json(f"{self.path}/commits").collect()  # one small row per batch
         return {r.batch: r.watermark for r in sorted(rows) if before is None or r.batch < before}
 
     def _read(self, batches: list[int], live: bool) -> DataFrame | None:
-        paths = [p for b in batches if path_exists(self.spark, p := f"{self.path}/batch={b}/live={str(live).lower()}")]
+        paths = [p for b in batches if control.exists(self.spark, p := f"{self.path}/batch={b}/live={str(live).lower()}")]
         return self.spark.read.schema(MESSAGES).parquet(*paths) if paths else None
 
     def apply(self, batch: DataFrame, number: int) -> None:
@@ -81,12 +75,7 @@ class SeenStore:
         merged.withColumn("live", stays).write.mode("overwrite").partitionBy("live").parquet(f"{self.path}/batch={number}")
         newest = self.spark.read.schema(MESSAGES).parquet(f"{self.path}/batch={number}").agg((F.max("last_seen") - F.expr(f"INTERVAL {self.horizon}")).cast("string")).first()[0]
         mark = max([x for x in (watermark, newest) if x is not None], default=None)
-        fs, file = self._commit_file(number)
-        stream = fs.create(file, True)
-        try:
-            stream.write(bytearray(json.dumps({"batch": number, "watermark": mark}).encode()))
-        finally:
-            stream.close()
+        control.write_json(self.spark, f"{self.path}/commits/{number}.json", {"batch": number, "watermark": mark})
 
     @staticmethod
     def _newest(records: DataFrame) -> DataFrame:

@@ -7,13 +7,12 @@ run and drops the tombstones. Order is (version, offset) with NULL lowest, so re
 
 from __future__ import annotations
 
-import json
 import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.session import delete_path, path_exists
+from tidemark.sources import files as control
 from tidemark.sources.tables import stream_path
 
 #: Spellings of the kinds of change; compared in lower case.
@@ -43,39 +42,20 @@ class LsmTable:
         self.spark, self.path, self.key, self.order, self.tombstone = spark, path.rstrip("/"), key, order, tombstone
         self.buckets = buckets
 
-    def _fs(self, path: str):
-        jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
-
     def _versions(self) -> list[int]:
-        fs, folder = self._fs(f"{self.path}/manifest")
-        if not fs.exists(folder):
-            return []
-        return sorted(int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
+        return sorted(int(p.rsplit("/", 1)[1].split(".")[0]) for p, _, _ in control.list_files(self.spark, f"{self.path}/manifest") if p.endswith(".json"))
 
     def _manifest(self) -> dict[str, list[str]]:
         versions = self._versions()
-        if not versions:
-            return {"runs": [], "merged": []}
-        fs, file = self._fs(f"{self.path}/manifest/{versions[-1]}.json")
-        stream = fs.open(file)
-        try:
-            text = bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-        return json.loads(text)
+        return control.read_json(self.spark, f"{self.path}/manifest/{versions[-1]}.json") if versions else {"runs": [], "merged": []}
 
     def live_runs(self) -> list[str]:
         return self._manifest()["runs"]
 
     def _commit(self, runs: list[str], merged: list[str]) -> None:
         number = (self._versions() or [0])[-1] + 1
-        fs, file = self._fs(f"{self.path}/manifest/{number}.json")
-        stream = fs.create(file, False)  # fails if another writer took the number
-        try:
-            stream.write(bytearray(json.dumps({"runs": runs, "merged": merged, "at": time.time()}).encode()))
-        finally:
-            stream.close()
+        # fails if another writer took the number
+        control.write_json(self.spark, f"{self.path}/manifest/{number}.json", {"runs": runs, "merged": merged, "at": time.time()}, exclusive=True)
 
     def _write_run(self, rows: DataFrame, run: str) -> None:
         ordered = newest_per_key(rows, self.key, self.order)
@@ -120,8 +100,8 @@ class LsmTable:
         merged.sortWithinPartitions(self.key).write.parquet(f"{self.path}/runs/{run}")
         self._commit([run], [*known["merged"], *old])
         for name in old:
-            if path_exists(self.spark, f"{self.path}/runs/{name}"):
-                delete_path(self.spark, f"{self.path}/runs/{name}")
+            if control.exists(self.spark, f"{self.path}/runs/{name}"):
+                control.delete(self.spark, f"{self.path}/runs/{name}")
         return run
 
 

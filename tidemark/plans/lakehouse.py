@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import quality, versions
 from tidemark.plans.reports import gold
-from tidemark.session import path_exists
 from tidemark.sources import files as control
 from tidemark.sources.snapshots import Cost, SnapshotTable
 
@@ -99,11 +98,11 @@ class Lakehouse:
 
     def __post_init__(self) -> None:
         table = lambda name, **o: SnapshotTable(self.spark, f"{self.root}/{name}", clock=self.clock, **o)
-        self.bronze, self.silver, self.gold = table("bronze"), table("silver", layout="bucket(16)"), table("gold", key="country", layout=None)
+        self.bronze, self.silver, self.gold = table("bronze"), table("silver", layout="bucket"), table("gold", key="country", layout=None)
 
     def _state(self, name: str, empty: dict) -> dict:
         path = f"{self.root}/control/{name}.json"
-        return control.read_json(self.spark, path) if path_exists(self.spark, path) else empty
+        return control.read_json(self.spark, path) if control.exists(self.spark, path) else empty
 
     def _keep(self, name: str, value: dict) -> None:
         control.write_json(self.spark, f"{self.root}/control/{name}.json", value)
@@ -138,8 +137,7 @@ class Lakehouse:
             self.bronze.append(rows.withColumn("event_date", F.col("event_date").cast("date")), {"load-id": load})
         self.seam("appended")
         made = self.bronze.find(load_id=load)
-        before = {f.path for f in self.bronze.snapshot(made.parent_id).files} if made.parent_id else set()
-        added = [f.path for f in made.files if f.path not in before]
+        added = self.bronze.added_files(made)
         control.write_json(self.spark, f"{self.root}/outbox/{made.snapshot_id:09d}-{load}.json", {"version": 1, "load_id": load, "source_paths": sorted(paths), "bronze_data_files": added, "row_count": made.summary["added-records"]})
         self.seam("published")
         state = self._state("writer", {"done": [], "pending": {}})
@@ -170,7 +168,7 @@ class Lakehouse:
         load = manifest["load_id"]
         progress = self._state("progress", {"next_sequence": 1, "completed": {}})
         ledger = f"{self.root}/ledger/{load}.json"
-        if load in progress["completed"] or path_exists(self.spark, ledger):
+        if load in progress["completed"] or control.exists(self.spark, ledger):
             self._complete(progress, load, path)
             return None
         made, cost = self.silver.find(silver_work_id=load), Cost()

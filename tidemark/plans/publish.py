@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import path_exists
 from tidemark.sources import files as control
 
 
@@ -26,7 +25,7 @@ def publish_together(spark: SparkSession, root: str, relations: dict[str, DataFr
 
 
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    if not path_exists(spark, f"{root}/current.json"):
+    if not control.exists(spark, f"{root}/current.json"):
         raise LookupError("nothing has been published")
     return spark.read.parquet(f"{root}/versions/{control.read_json(spark, f'{root}/current.json')['version']}/{name}")
 

@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.files import file_system
+
 
 def build_session(app: str = "tidemark", cores: int | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session with UTC time, AQE with skew splitting, and local cores when no master is given by spark-submit."""
@@ -31,17 +33,24 @@ def build_session(app: str = "tidemark", cores: int | None = None, shuffle_parti
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for tables that a job writes and reads again.
+    """A fresh folder for tables that a job writes and reads again; it is deleted when the application ends.
 
-    It lies below the folder named by ``spark.checkpoint.dir``, which all executors share, so that a lost executor
-    loses no data. Only where the session has no such setting (local tests) a temporary folder is made and set.
+    It lies below the folder named by ``spark.checkpoint.dir``, else the one given to ``setCheckpointDir``, which all executors
+    share, so that a lost executor loses no data. Only a local session without either (tests) gets a temporary folder; on a
+    cluster that would be a different disk for every executor, so there it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    fs, folder = file_system(spark, path)
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return path
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -53,18 +62,6 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
-def delete_path(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application: on a cluster they need not have it installed."""
     context = spark.sparkContext

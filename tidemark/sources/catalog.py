@@ -6,13 +6,13 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.files import _fs
+from tidemark.sources.files import file_system
 from tidemark.sources.tables import table
 
 
 def register_views(spark: SparkSession, folder: str) -> list[str]:
     """A temporary view for every ``<name>.parquet`` of a folder, so that plain SQL can be run over it."""
-    fs, path = _fs(spark, folder)
+    fs, path = file_system(spark, folder)
     names = sorted(os.path.basename(s.getPath().toString().rstrip("/"))[:-8] for s in fs.listStatus(path) if s.getPath().getName().endswith(".parquet"))
     for name in names:
         table(spark, folder, name).createOrReplaceTempView(name)

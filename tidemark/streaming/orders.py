@@ -10,7 +10,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark.functions.money import TOTAL
 from tidemark.operators import events, versions
-from tidemark.session import path_exists
+from tidemark.sources import files as control
 from tidemark.sources.snapshots import SnapshotTable
 
 SERVING = ["order_id", "customer", "amount", "country", "status", "event_time", "business_version", "kafka_timestamp", "kafka_partition", "kafka_offset", "batch_id"]
@@ -64,7 +64,7 @@ def serve(spark: SparkSession, paths: Paths, batch: DataFrame, batch_id: int) ->
     try:
         if newest.isEmpty():
             return
-        table = SnapshotTable(spark, paths.serving, layout="bucket(16)")
+        table = SnapshotTable(spark, paths.serving, layout="bucket")
         if table.snapshot() is None:
             take = newest
         else:
@@ -72,7 +72,7 @@ def serve(spark: SparkSession, paths: Paths, batch: DataFrame, batch_id: int) ->
             known, version, had = F.col("k").isNotNull(), F.col("business_version"), F.col("had")
             take = newest.join(stored, F.col("order_id") == F.col("k"), "left").filter(~known | (version.isNotNull() & (had.isNull() | (version > had)))).select(*SERVING)
         made, _ = table.replace_keys(take, {"batch-id": str(batch_id)})
-        if made is not None or not path_exists(spark, paths.totals):
+        if made is not None or not control.exists(spark, paths.totals):
             country_totals(table.read()).coalesce(1).write.mode("overwrite").parquet(paths.totals)
     finally:
         newest.unpersist()
