@@ -13,6 +13,7 @@ it runs along range parts in the order of arrival.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -140,6 +141,12 @@ def _bit(bitmap: Column, place: Column) -> Column:
     return F.getbit(byte, (place % 8).cast("int")) == 1
 
 
+def _bitmaps(rows: DataFrame) -> DataFrame:
+    """The sequence numbers of rows as bitmaps per source and block."""
+    numbered = rows.filter("kafka_offset IS NOT NULL").select(_source().alias("source"), F.col("kafka_offset").alias("seq"))
+    return numbered.groupBy("source", F.floor(F.col("seq") / BITS).alias("block")).agg(F.bitmap_construct_agg(F.pmod("seq", F.lit(BITS))).alias("bits"))
+
+
 class CounterStore:
     """State below ``path``: ``batch=<n>/rows|counters|late|seen`` and ``commits/<n>.json`` with the register and each source's highest sequence.
 
@@ -170,13 +177,17 @@ class CounterStore:
         high = max((c["high"] for c in earlier.values() if c["high"] is not None), default=None)
         register = None if high is None else F.timestamp_micros(F.lit(high)).cast(dict(stored.dtypes)["event_time"])
         marked = mark_late(stored, register, self.cut_off)
-        marked.filter("late").drop("late").write.mode("overwrite").parquet(f"{here}/late")
+        accepted = marked.filter("NOT late").drop("late")
+        outputs = {"late": lambda: marked.filter("late").drop("late")}
         if "amount" in rows.columns:
-            accepted = self._unseen(marked.filter("NOT late").drop("late"), earlier)
-            counter_states(accepted, number).write.mode("overwrite").parquet(f"{here}/counters")
-            numbered = marked.filter("NOT late AND kafka_offset IS NOT NULL").select(_source().alias("source"), F.col("kafka_offset").alias("seq"))
-            numbered.groupBy("source", F.floor(F.col("seq") / BITS).alias("block")).agg(F.bitmap_construct_agg(F.pmod("seq", F.lit(BITS))).alias("bits")).write.mode("overwrite").parquet(f"{here}/seen")
-        ends = stored.groupBy(_source().alias("source")).agg(F.max("kafka_offset").alias("seq"), F.max(F.unix_micros(F.col("event_time").cast("timestamp"))).alias("high")).collect()  # one row per topic partition
+            outputs["counters"] = lambda: counter_states(self._unseen(accepted, earlier), number)
+            outputs["seen"] = lambda: _bitmaps(accepted)
+        ends = stored.groupBy(_source().alias("source")).agg(F.max("kafka_offset").alias("seq"), F.max(F.unix_micros(F.col("event_time").cast("timestamp"))).alias("high"))
+        with ThreadPoolExecutor() as pool:  # the outputs don't wait for each other
+            writes = [pool.submit(lambda w=what, f=frame: f().write.mode("overwrite").parquet(f"{here}/{w}")) for what, frame in outputs.items()]
+            ends = ends.collect()  # one row per topic partition
+            for w in writes:
+                w.result()
         commit = {"batch": number, "high": max((r.high for r in ends), default=None), "seqs": {str(r.source): r.seq for r in ends if r.seq is not None}}
         control.write_json(self.spark, f"{self.path}/commits/{number}.json", commit)
         control.delete(self.spark, f"{here}/rows")
@@ -245,12 +256,12 @@ def run_batches(spark: SparkSession, rows: DataFrame, path: str, batches: int, c
     return store
 
 
-def daily_totals(spark: SparkSession, rows: DataFrame, path: str, cut_off: str = CUT_OFF, ahead: str = AHEAD, batches: int = 3) -> DataFrame:
+def daily_totals(spark: SparkSession, rows: DataFrame, path: str, cut_off: str = CUT_OFF, ahead: str = AHEAD, batches: int = 2) -> DataFrame:
     """Corrected totals per event day and country from the rows in time."""
     return run_batches(spark, rows.select("country", "amount", "event_time", *ARRIVAL), path, batches, cut_off, ahead).totals()
 
 
-def late_rows(spark: SparkSession, rows: DataFrame, path: str, cut_off: str = CUT_OFF, ahead: str = AHEAD, batches: int = 3) -> DataFrame:
+def late_rows(spark: SparkSession, rows: DataFrame, path: str, cut_off: str = CUT_OFF, ahead: str = AHEAD, batches: int = 2) -> DataFrame:
     """Distinct ``(order_id, event_day)`` of rows that came after the cut-off, by the store that also counts the others."""
     late = run_batches(spark, rows.select("order_id", "country", "amount", "event_time", *ARRIVAL), path, batches, cut_off, ahead).late()
     return late.select("order_id", F.date_format("event_time", "yyyy-MM-dd").alias("event_day")).distinct()
