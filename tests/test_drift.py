@@ -104,3 +104,32 @@ def test_ingest_rescues_and_promotes(spark):
     promoted = {r.order_id: r for r in drift.promote(drift.ingest_files(files(spark, [(1, "p", 1, body)])), {"channel": "string", "note": "int"}).collect()}
     assert promoted["o"].channel == "web" and promoted["p"].channel == "7"
     assert set(json.loads(promoted["o"].rescued)) == {"note"}  # cannot be cast, stays
+
+
+def test_promotion_fills_only_what_is_null(spark):
+    rows = spark.createDataFrame([("a", 1.5, '{"amount":9.25,"x":1}'), ("b", 2.5, None), ("c", None, '{"amount":3.5,"x":2}'), ("d", None, '{"amount":"much"}'), ("e", 4.0, "no json")], "order_id string, amount double, rescued string")
+    got = {r.order_id: (r.amount, r.x, r.rescued) for r in drift.promote(rows, {"amount": "double", "x": "int"}).collect()}
+    assert got == {"a": (1.5, 1, '{"amount":9.25}'), "b": (2.5, None, None), "c": (3.5, 2, None), "d": (None, None, '{"amount":"much"}'), "e": (4.0, None, "no json")}
+
+
+def test_unreadable_lines_are_rescued(spark):
+    body = '{"order_id":"o"}\n\n{"order_id": "cut\n[1]\n'
+    rows = drift.ingest_files(files(spark, [(1, "p", 1, body)]), unreadable=True).collect()
+    assert [(r.line_no, r.order_id, r.rescued and json.loads(r.rescued)) for r in sorted(rows, key=lambda r: r.line_no)] == [(0, "o", None), (2, None, {"_unreadable": '{"order_id": "cut'}), (3, None, {"_unreadable": "[1]"})]
+
+
+def test_unknown_names_are_inferred_from_the_payload(spark, tmp_path, rows_of):
+    def record(i, **more):
+        payload = {"order_id": f"o{i}", "customer": f"c{i % 7}", "amount": i + 0.5, "business_version": i % 3, "event_time": f"2015-03-01T10:00:{i:02d}+00:00"}
+        return json.dumps({"order_id": f"o{i}", "canonical_payload": json.dumps(payload) if i % 2 else payload, **more})
+
+    before = "\n".join(record(i, customer=f"c{i % 7}", amount=i + 0.5, event_time=1425204000000 + i * 1000) for i in range(10))
+    after = "\n".join(record(i, kunde=f" c{i % 7}", betrag=str(i + 0.5), zeitpunkt=1425204000000 + i * 1000, priority=i % 2 + 5, note=f"c{i}") for i in range(10, 20))
+    frame = files(spark, [(1, "p", 1, before), (2, "p", 2, after)])
+    got = rows_of(drift.find_changes(spark, frame, str(tmp_path / "x")))
+    assert got == [(2, "amount", "renamed"), (2, "amount", "retyped"), (2, "customer", "renamed"), (2, "event_time", "renamed"), (2, "note", "added"), (2, "priority", "added")]
+    rows = drift.ingest(spark, frame, str(tmp_path / "y")).filter("file_id = 2").collect()
+    assert {r.customer for r in rows} == {f" c{i % 7}" for i in range(10, 20)} and sum(r.amount for r in rows) == sum(i + 0.5 for i in range(10, 20))
+    assert all(set(json.loads(r.rescued)) == {"priority", "note"} for r in rows)
+    few = files(spark, [(1, "p", 1, before), (2, "p", 2, "\n".join(after.split("\n")[:4]))])  # too little evidence
+    assert (2, "kunde", "added") in rows_of(drift.find_changes(spark, few, str(tmp_path / "z")))

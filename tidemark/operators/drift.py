@@ -1,8 +1,10 @@
 """Schemas that drift between files: one typed table with a rescue column, and a report of every change of shape.
 
 A stored file is one row whose body holds one JSON record per line. Records are parsed once, inside the row, so finding a
-file's shape needs no shuffle. Fields are matched to target columns by name or by a known other name; what is unknown or
-cannot be cast is kept as JSON in ``rescued`` and can be promoted into a typed column later.
+file's shape needs no shuffle. Fields are matched to target columns by name, by a known other name, or by what they hold: a field
+that says in its records what the canonical payload says of a column which the file lacks stands for that column. The same match
+decides where values go on ingestion and which changes are reported. What is unknown or cannot be cast is kept as JSON in
+``rescued`` and can be promoted into a typed column later.
 """
 
 from __future__ import annotations
@@ -33,6 +35,11 @@ OTHER_NAMES = {
 #: Files of one producer that are compared within one task.
 BLOCK = 4096
 
+#: Columns that the canonical payload repeats.
+PAYLOAD = ("order_id", "customer", "amount", "country", "status", "event_time", "business_version")
+#: A name stands for a column if this share of its records, this many at least and with as many different values, say what the payload says.
+AGREEING, LEAST_RECORDS, LEAST_VALUES = 0.9, 5, 3
+
 
 def _folded(name: Column) -> Column:
     return F.lower(F.regexp_replace(name, "[^A-Za-z0-9]", ""))
@@ -66,11 +73,11 @@ def records_of(body: Column) -> Column:
     return F.filter(F.transform(lines, record_of), lambda x: x.isNotNull())
 
 
-def file_shapes(files: DataFrame) -> DataFrame:
-    """``(producer, file_seq, file_id, fields)`` of every readable file of a producer; fields are (field, name, kind).
+def survey(files: DataFrame, other_names: dict[str, str] | None = None) -> DataFrame:
+    """``(producer, file_seq, file_id, p, hints)`` of every readable file of a producer: names with their kinds, and what hints at unknown names.
 
-    ``kind`` is NULL where the field is null throughout the file. Where two names of a file stand for one column, the column's
-    own name (else the first by name) speaks for it and the other counts as a field of its own.
+    A hint is a record in which an unknown name can be compared with the payload: (name, field, value), where field is the column that
+    says the same, NULL if none does. Only columns that the file does not have under a known name are compared.
     """
     kept = files.filter("producer IS NOT NULL").select("producer", F.col("file_seq").cast("bigint").alias("file_seq"), F.col("file_id").cast("bigint").alias("file_id"), "body")
     # an explode of one element: a filter on its output is not pushed below it, which would parse every body twice
@@ -78,9 +85,53 @@ def file_shapes(files: DataFrame) -> DataFrame:
     # kind and name as one text, so that distinct values are found by hash
     pair = lambda e: F.concat(F.coalesce(kind_of(e["value"]), F.lit("")), F.lit("|"), e["key"])
     pairs = F.array_distinct(F.flatten(F.transform("r", lambda m: F.transform(F.map_entries(m), pair))))
-    seen = readable.select("producer", "file_seq", "file_id", F.transform(pairs, lambda p: F.struct(F.substring_index(p, "|", 1).alias("kind"), p.alias("pair"))).alias("p"))
-    seen = seen.select("producer", "file_seq", "file_id", F.transform("p", lambda x: F.struct(x["pair"].substr(F.length(x["kind"]) + 2, F.length(x["pair"])).alias("name"), F.nullif(x["kind"], F.lit("")).alias("kind"))).alias("p"))
-    named = seen.withColumn("names", F.transform(F.array_sort(F.array_distinct(F.transform("p", lambda x: x["name"]))), lambda n: F.struct(n.alias("name"), target_of(n).alias("target"))))
+    split = lambda x: F.struct(x["pair"].substr(F.length(x["kind"]) + 2, F.length(x["pair"])).alias("name"), F.nullif(x["kind"], F.lit("")).alias("kind"))
+    seen = readable.select("*", F.transform(pairs, lambda p: F.struct(F.substring_index(p, "|", 1).alias("kind"), p.alias("pair"))).alias("p"))
+    seen = seen.select("producer", "file_seq", "file_id", "r", F.transform("p", split).alias("p"))
+    seen = seen.withColumn("t", F.array_distinct(F.transform("p", lambda x: F.struct(x["name"].alias("name"), target_of(x["name"], other_names).alias("target")))))
+    unknown = F.transform(F.filter("t", lambda x: (x["target"] == x["name"]) & ~x["name"].isin(*TARGET)), lambda x: x["name"])
+    payload_name = F.get(F.filter("t", lambda x: x["target"] == "canonical_payload"), F.lit(0))["name"]
+    lacking = F.array_except(F.array(*[F.lit(c) for c in PAYLOAD]), F.transform("t", lambda x: x["target"]))
+    seen = seen.withColumn("unknown", unknown).withColumn("payload_name", payload_name).withColumn("lacking", lacking)
+
+    def hints_of(m: Column) -> Column:
+        payload = _payload_of(F.element_at(m, F.col("payload_name")))
+
+        def hint(n: Column) -> Column:
+            value = F.element_at(m, n)
+            same = F.filter("lacking", lambda c: F.coalesce(_said(value) == _said(F.element_at(payload, c)), F.lit(False)) | (c == "event_time") & F.coalesce(_as_time(value) == _as_time(F.element_at(payload, c)), F.lit(False)))
+            return F.when(_said(value).isNotNull(), F.struct(n.alias("name"), F.get(same, F.lit(0)).alias("field"), F.xxhash64(_said(value)).alias("value")))
+
+        return F.when(payload.isNotNull(), F.array_compact(F.transform("unknown", hint)))
+
+    compared = (F.size("unknown") > 0) & F.col("payload_name").isNotNull() & (F.size("lacking") > 0)
+    return seen.select("producer", "file_seq", "file_id", "p", F.when(compared, F.flatten(F.array_compact(F.transform("r", hints_of)))).alias("hints"))
+
+
+def _said(value: Column) -> Column:
+    return F.nullif(F.btrim(F.try_variant_get(value, "$", "string"), F.lit(" \t")), F.lit(""))
+
+
+def _payload_of(value: Column) -> Column:
+    """The payload's fields, whether it was sent as an object or as text."""
+    return F.coalesce(F.try_variant_get(F.try_parse_json(F.try_variant_get(value, "$", "string")), "$", "map<string,variant>"), F.try_variant_get(value, "$", "map<string,variant>"))
+
+
+def inferred_names(surveyed: DataFrame) -> dict[str, str]:
+    """Unknown names that stand for a column, by the hints of all files; one row per such name comes to the driver."""
+    hints = surveyed.select(F.inline("hints"))
+    per = hints.groupBy("name", "field").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value").alias("values"))
+    best = per.groupBy("name").agg(F.sum("n").alias("all"), F.max(F.when(F.col("field").isNotNull(), F.struct("n", "values", "field"))).alias("best"))
+    return {r.name: r.field for r in best.filter((F.col("best.n") >= F.col("all") * AGREEING) & (F.col("best.n") >= LEAST_RECORDS) & (F.col("best.values") >= LEAST_VALUES)).select("name", "best.field").collect()}
+
+
+def shapes_of(surveyed: DataFrame, inferred: dict[str, str] | None = None) -> DataFrame:
+    """``(producer, file_seq, file_id, fields)``; fields are (field, name, kind).
+
+    ``kind`` is NULL where the field is null throughout the file. Where two names of a file stand for one column, the column's
+    own name (else the first by name) speaks for it and the other counts as a field of its own.
+    """
+    named = surveyed.withColumn("names", F.transform(F.array_sort(F.array_distinct(F.transform("p", lambda x: x["name"]))), lambda n: F.struct(n.alias("name"), target_of(n, OTHER_NAMES | (inferred or {})).alias("target"))))
 
     def field(n: Column) -> Column:
         rivals = F.filter("names", lambda o: o["target"] == n["target"])
@@ -92,6 +143,10 @@ def file_shapes(files: DataFrame) -> DataFrame:
     return named.select("producer", "file_seq", "file_id", F.transform("names", lambda n: F.struct(field(n).alias("field"), n["name"].alias("name"), kind(n).alias("kind"))).alias("fields"))
 
 
+def file_shapes(files: DataFrame, inferred: dict[str, str] | None = None) -> DataFrame:
+    return shapes_of(survey(files), inferred)
+
+
 def shape_changes(shapes: DataFrame, block: int = BLOCK) -> DataFrame:
     """``(file_id, field_name, change_kind)`` between each file and the same producer's file before it.
 
@@ -161,36 +216,55 @@ def _typed(column: str, value: Column) -> Column:
     return F.try_variant_get(value, "$", "string").try_cast(kind)
 
 
-def ingest_files(files: DataFrame) -> DataFrame:
+def ingest_files(files: DataFrame, inferred: dict[str, str] | None = None, unreadable: bool = False) -> DataFrame:
     """All complete records of all files as rows of the target table, with ``file_id``, ``line_no`` and ``rescued``.
 
     ``rescued`` is a JSON object of the fields without a target column and of values that the target type cannot hold, NULL
-    where there are none. Empty files and lines cut off give no row. Columns no record has are NULL.
+    where there are none. Columns no record has are NULL. Empty files and blank lines give no row; lines that are no complete JSON
+    object, such as those cut off, give one only with ``unreadable``, all columns NULL and the line as ``_unreadable`` in ``rescued``.
     """
-    lines = F.transform(F.split("body", "\r?\n"), record_of)
-    records = files.select("file_id", F.col("event_date").alias("file_date"), F.posexplode(lines).alias("line_no", "m")).filter("m IS NOT NULL")
-    keyed = records.withColumn("by_field", F.transform(F.map_entries("m"), lambda e: F.struct(target_of(e["key"]).alias("field"), e["key"].alias("name"), e["value"].alias("value"))))
+    names = OTHER_NAMES | (inferred or {})
+    lines = F.transform(F.split("body", "\r?\n"), lambda x: F.struct(x.alias("line"), record_of(x).alias("m")))
+    records = files.select("file_id", F.col("event_date").alias("file_date"), F.posexplode(lines).alias("line_no", "l")).select("file_id", "file_date", "line_no", "l.m", "l.line")
+    records = records.filter("m IS NOT NULL" + (" OR length(btrim(line)) > 0" if unreadable else ""))
+    keyed = records.withColumn("by_field", F.transform(F.map_entries("m"), lambda e: F.struct(target_of(e["key"], names).alias("field"), e["key"].alias("name"), e["value"].alias("value"))))
     first = lambda part, c: F.get(F.filter("by_field", lambda x: x[part] == c), F.lit(0))
     picked = keyed.select("*", *[F.coalesce(first("name", c), first("field", c)).alias(f"v_{c}") for c in TARGET])
     typed = picked.select("*", *[_typed(c, F.col(f"v_{c}.value")).alias(c) for c in TARGET])
     placed = F.array_compact(F.array(*[F.when(F.col(c).isNotNull() | kind_of(F.col(f"v_{c}.value")).isNull(), F.col(f"v_{c}.name")) for c in TARGET]))
     rest = F.filter("by_field", lambda x: ~F.array_contains(placed, x["name"]))
     rescued = F.when(F.size(rest) > 0, F.to_json(F.map_from_entries(F.transform(rest, lambda x: F.struct(x["name"], x["value"])))))
-    return typed.select("file_id", "line_no", *[F.coalesce(F.col(c), F.col("file_date"), F.to_date("event_time")).alias(c) if c == "event_date" else F.col(c) for c in TARGET], rescued.alias("rescued"))
+    rescued = F.when(F.col("m").isNull(), F.to_json(F.struct(F.col("line").alias("_unreadable")))).otherwise(rescued)
+    day = F.when(F.col("m").isNotNull(), F.coalesce("event_date", "file_date", F.to_date("event_time")))
+    done = typed.select("file_id", "line_no", *[day.alias(c) if c == "event_date" else F.col(c) for c in TARGET], rescued.alias("__rescued"))
+    return done.select("file_id", "line_no", *TARGET, F.explode(F.array("__rescued")).alias("rescued"))  # as above: filters stay behind it
 
 
 def promote(rows: DataFrame, fields: dict[str, str]) -> DataFrame:
-    """Replay approved fields from ``rescued`` into typed columns; values that cannot be cast stay rescued."""
-    out = rows.withColumn("__r", F.try_variant_get(F.try_parse_json("rescued"), "$", "map<string,variant>"))
+    """Replay approved fields from ``rescued`` into typed columns, where these are NULL; values that cannot be cast, or whose column holds another value, stay rescued."""
+    out = rows.withColumn("__r", F.explode(F.array(F.try_variant_get(F.try_parse_json("rescued"), "$", "map<string,variant>"))))
     moved = []
     for name, kind in fields.items():
-        out = out.withColumn(name, F.try_variant_get(F.element_at("__r", name), "$", kind))
-        moved.append(F.when(F.col(name).isNotNull(), F.lit(name)))
+        replayed = F.try_variant_get(F.element_at("__r", name), "$", kind)
+        free = F.col(name).isNull() if name in rows.columns else F.lit(True)
+        moved.append(F.when(free & replayed.isNotNull(), F.lit(name)))
+        out = out.withColumn(f"__{name}", F.coalesce(F.col(name), replayed) if name in rows.columns else replayed)
     left = F.map_filter("__r", lambda k, v: ~F.array_contains(F.array_compact(F.array(*moved)), k))
-    return out.withColumn("rescued", F.when(F.size(left) > 0, F.to_json(left))).drop("__r")
+    out = out.withColumn("rescued", F.when(F.col("__r").isNull(), F.col("rescued")).when(F.size(left) > 0, F.to_json(left)))
+    for name in fields:
+        out = out.withColumn(name, F.col(f"__{name}")).drop(f"__{name}")
+    return out.drop("__r")
 
 
 def find_changes(spark: SparkSession, files: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
-    """``shape_changes`` of ``files``, with the shapes stored at ``path`` so that bodies are parsed once."""
-    file_shapes(files).write.mode("overwrite").parquet(path)
-    return shape_changes(spark.read.parquet(path), block)
+    """``shape_changes`` of ``files``; the survey is stored below ``path``, so that bodies are parsed once."""
+    survey(files).write.mode("overwrite").parquet(f"{path}/survey")
+    surveyed = spark.read.parquet(f"{path}/survey")
+    shapes_of(surveyed, inferred_names(surveyed)).write.mode("overwrite").parquet(f"{path}/shapes")
+    return shape_changes(spark.read.parquet(f"{path}/shapes"), block)
+
+
+def ingest(spark: SparkSession, files: DataFrame, path: str, unreadable: bool = False) -> DataFrame:
+    """``ingest_files`` with the names inferred by the same survey that finds changes."""
+    survey(files).select("hints").filter("size(hints) > 0").write.mode("overwrite").parquet(f"{path}/hints")
+    return ingest_files(files, inferred_names(spark.read.parquet(f"{path}/hints")), unreadable)

@@ -51,8 +51,29 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return drift.find_changes(spark, table(spark, sf, "landing_files"), work_dir(spark, "p3"))
 
 
+def _own_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of producers. Those without one were made from other files: their records are in these."""
+    return table(spark, sf, "landing_files").filter("producer IS NOT NULL")
+
+
 def p3_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.ingest_files(table(spark, sf, "landing_files").filter("producer IS NOT NULL"))
+    return drift.ingest(spark, _own_files(spark, sf), work_dir(spark, "p3"))
+
+
+#: Fields without a target column that are approved for columns of their own.
+P3_APPROVED = {"currency": "string", "channel": "string", "coupon_code": "string", "warehouse_hint": "string", "is_gift": "boolean", "priority": "int"}
+
+
+def p3_promoted(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with an approved field, replayed from ``rescued`` into its column."""
+    rows = drift.promote(drift.ingest_files(_own_files(spark, sf)), P3_APPROVED).select("file_id", "line_no", *P3_APPROVED)
+    return rows.filter(F.coalesce(*[F.col(c).cast("string") for c in P3_APPROVED]).isNotNull())
+
+
+def p3_unreadable(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that are no complete JSON object, as rescued."""
+    rows = drift.ingest_files(_own_files(spark, sf), unreadable=True).select("file_id", "line_no", F.get_json_object("rescued", "$._unreadable").alias("line"))
+    return rows.filter("line IS NOT NULL")
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,5 +152,5 @@ def p7_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_counts, p2_found, p2_state, p3_found, p3_rows, p4_found, p4_records, p4_log_balance, p5_found, p5_profile, p5_drift, p5_drift_all, p6_found, p6_rows, p7_found, p7_totals)
+    for f in (p1_found, p1_counts, p2_found, p2_state, p3_found, p3_rows, p3_promoted, p3_unreadable, p4_found, p4_records, p4_log_balance, p5_found, p5_profile, p5_drift, p5_drift_all, p6_found, p6_rows, p7_found, p7_totals)
 }

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.operators.drift import OTHER_NAMES, TARGET
-from tidemark.plans.reports import SPLIT_AT
+#: Fixed values, stated here anew so that the SQL does not lean on the operators it judges: columns of bronze_orders and their other names in landing files.
+TARGET = ("order_id", "customer", "amount", "country", "status", "event_time", "kafka_timestamp", "kafka_partition", "kafka_offset", "event_date", "business_version", "source_epoch_id", "event_id", "canonical_payload", "canonical_payload_hash")
+OTHER_NAMES = {
+    "customer_name": "customer", "order_amount": "amount", "country_code": "country", "occurred_at": "event_time", "biz_version": "business_version", "version_no": "business_version",
+    "epoch": "source_epoch_id", "src_epoch": "source_epoch_id", "payload_json": "canonical_payload", "canonical_body": "canonical_payload",
+}
+SPLIT_AT = "2015-03-20 00:00:00"
 
 BLANKS = "chr(32) || chr(9)"
 
@@ -124,6 +129,12 @@ ORACLE: dict[str, str] = {
         UNION SELECT next_file, field, 'removed' FROM seen WHERE next_file IS NOT NULL AND coalesce(ord_after, 0) <> ord + 1
         UNION SELECT file_id, field, 'renamed' FROM seen WHERE ord_before = ord - 1 AND name <> name_before
         UNION SELECT file_id, field, 'retyped' FROM seen WHERE ord_before = ord - 1 AND kind <> kind_before""",
+    "p3_promoted": """WITH parts AS (SELECT file_id, string_split(body, chr(10)) AS l FROM landing_files WHERE producer IS NOT NULL), lines AS (SELECT file_id, unnest(range(len(l)))::INTEGER AS line_no, unnest(l) AS line FROM parts),
+        recs AS (SELECT * FROM lines WHERE CASE WHEN json_valid(line) THEN json_type(line) = 'OBJECT' ELSE false END)
+        SELECT * FROM (SELECT file_id, line_no, json_extract_string(line, '$.currency') AS currency, json_extract_string(line, '$.channel') AS channel, json_extract_string(line, '$.coupon_code') AS coupon_code, json_extract_string(line, '$.warehouse_hint') AS warehouse_hint,
+            json_extract_string(line, '$.is_gift')::BOOLEAN AS is_gift, json_extract_string(line, '$.priority')::INTEGER AS priority FROM recs) WHERE coalesce(currency, channel, coupon_code, warehouse_hint, is_gift::VARCHAR, priority::VARCHAR) IS NOT NULL""",
+    "p3_unreadable": """WITH parts AS (SELECT file_id, string_split(body, chr(10)) AS l FROM landing_files WHERE producer IS NOT NULL), lines AS (SELECT file_id, unnest(range(len(l)))::INTEGER AS line_no, unnest(l) AS line FROM parts)
+        SELECT file_id, line_no, line FROM lines WHERE length(trim(line)) > 0 AND NOT CASE WHEN json_valid(line) THEN json_type(line) = 'OBJECT' ELSE false END""",
     "p4_found": "SELECT file_id FROM landing_files WHERE strlen(coalesce(body, '')) < 8192 AND file_id IN (SELECT file_id FROM file_log GROUP BY file_id HAVING arg_max(log_action, log_seq) = 'add')",
     "p4_records": """WITH small AS (SELECT * FROM landing_files WHERE strlen(coalesce(body, '')) < 8192 AND file_id IN (SELECT file_id FROM file_log GROUP BY file_id HAVING arg_max(log_action, log_seq) = 'add')),
         parts AS (SELECT event_date, file_id, list_filter(string_split(body, chr(10)), lambda x: length(trim(x)) > 0) AS l FROM small)
