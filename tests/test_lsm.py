@@ -79,3 +79,18 @@ def test_nulls_ties_extra_columns_and_empty(spark, tmp_path):
     empty = str(tmp_path / "none.parquet")
     spark.createDataFrame([], SCHEMA).write.parquet(empty)
     assert lsm.apply_feed(spark, empty, str(tmp_path / "w")).read().count() == 0
+
+
+def test_runs_are_merged_bucket_by_bucket(spark, tmp_path):
+    rows = feed(4, 400)
+    table = lsm.order_change_table(spark, str(tmp_path / "t"))
+    for i in range(4):
+        table.append(spark.createDataFrame(rows[i * 120 : (i + 1) * 120], SCHEMA), run=f"batch-{i:09d}")
+    merged = table.merged()
+    assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.count() == merged.select("order_id").distinct().count() and state(table.read()) == brute(rows)
+    table.settle(2)  # levels: 4 runs of level 0, 2 of level 1, 1 of level 2
+    assert [r["level"] for r in table._manifest()["runs"]] == [1] or len(table.live_runs()) == 1
+    assert state(table.read()) == brute(rows)
+    table.append(spark.createDataFrame(rows[:120], SCHEMA), run="batch-000000002")  # a retry after compaction adds nothing
+    assert len(table.live_runs()) == 1

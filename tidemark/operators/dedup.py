@@ -1,10 +1,11 @@
 """Exactly one copy of messages that were delivered more than once.
 
-A stream keeps the seen identifiers as keyed state. Every batch reduces its rows to one record per identifier, merges them
-with the live state and writes state and output together under the batch's number; the batch counts once its commit file
-exists, and a batch run again replaces what it had written. Identifiers last seen before the watermark leave the live state
-for a ledger, in which identifiers that the live state doesn't hold are looked up, so a copy that comes after its message has
-expired is never taken for new.
+A stream keeps the seen identifiers as keyed state in sorted runs. Every batch reduces its rows to one record per identifier, looks
+these identifiers up in the state and writes the records brought up to date as a run of its own; the batch counts once its state
+file exists, which names all runs and the watermark, so state and output appear together and a batch that is run again replaces
+what it had written. Runs whose newest message lies before the watermark leave the live state for a ledger, which is looked up as well, so a copy that
+comes after its message has expired is never taken for new. All runs have the same hash buckets: a look-up moves the batch's
+records to them and nothing else, and no batch writes more than its own identifiers.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import plain_key
 from tidemark.sources import files as control
+from tidemark.sources.runs import Runs, crowded_level
 from tidemark.sources.tables import stream_path
 
 MESSAGES = "event_id string, canonical_payload_hash string, kept struct<no_time: boolean, kafka_timestamp: timestamp_ntz, kafka_partition: int, kafka_offset: bigint>, n bigint, last_seen timestamp_ntz"
@@ -33,66 +35,88 @@ def copies_by_message(rows: DataFrame, event_id: str = "event_id", digest: str =
     return keyed.groupBy("event_id", "canonical_payload_hash").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("n"), F.max("kafka_timestamp").alias("last_seen"))
 
 
-def _merge(records: DataFrame) -> DataFrame:
-    return records.groupBy("event_id", "canonical_payload_hash").agg(F.min("kept").alias("kept"), F.sum("n").alias("n"), F.max("last_seen").alias("last_seen"))
+def _newest(records: DataFrame) -> DataFrame:
+    """Of a message's records in several runs the one with the highest count: each later one holds the earlier ones."""
+    return records.groupBy(*KEY).agg(F.max_by(F.struct("kept", "n", "last_seen"), "n").alias("r")).select(*KEY, "r.kept", "r.n", "r.last_seen")
 
 
 class SeenStore:
-    """State of seen messages below ``path``: ``batch=<n>/live=true|false`` and ``commits/<n>.json`` with the watermark."""
+    """State of seen messages below ``path``: records in ``runs/<name>``, the state after each batch in ``state/<n>.json``.
 
-    def __init__(self, spark: SparkSession, path: str, horizon: str = "1 day") -> None:
-        self.spark, self.path, self.horizon = spark, path.rstrip("/"), horizon
+    ``fanout``: runs of one level, live or in the ledger, that are merged into one. ``buckets`` counts when the store is made; 0 stands
+    for the session's number of shuffle partitions.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, horizon: str = "1 day", buckets: int = 0, fanout: int = 8) -> None:
+        self.spark, self.path, self.horizon, self.fanout = spark, path.rstrip("/"), horizon, fanout
+        made = self.state()["buckets"]
+        self.runs = Runs(spark, f"{self.path}/runs", KEY, made or buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def state(self) -> dict:
+        """The state after the last batch that counts: its number, the watermark (microseconds), live runs and ledger runs (name, level, newest)."""
+        files = [p for p, _, _ in control.list_files(self.spark, f"{self.path}/state") if p.endswith(".json")]
+        return control.read_json(self.spark, max(files)) if files else {"batch": -1, "watermark": None, "live": [], "ledger": [], "buckets": 0}
 
-    def commits(self, before: int | None = None) -> dict[int, str | None]:
-        """Watermark after each committed batch."""
-        if not control.exists(self.spark, f"{self.path}/commits"):
-            return {}
-        rows = self.spark.read.schema("batch int, watermark string").json(f"{self.path}/commits").collect()  # one small row per batch
-        return {r.batch: r.watermark for r in sorted(rows) if before is None or r.batch < before}
+    def _records(self, runs: list[dict]) -> DataFrame | None:
+        found = self.runs.read([r["name"] for r in runs])
+        return found if found is None or len(runs) == 1 else _newest(found)
 
-    def _read(self, batches: list[int], live: bool) -> DataFrame | None:
-        paths = [p for b in batches if control.exists(self.spark, p := f"{self.path}/batch={b}/live={str(live).lower()}")]
-        return self.spark.read.schema(MESSAGES).parquet(*paths) if paths else None
+    def live(self) -> DataFrame:
+        """Records of the live state."""
+        found = self._records(self.state()["live"])
+        return self.spark.createDataFrame([], MESSAGES) if found is None else found
 
     def apply(self, batch: DataFrame, number: int) -> None:
-        """Merge one batch into the state. Applying the same batch number again gives the same state."""
-        done = self.commits(before=number)
-        watermark = done[max(done)] if done else None
-        fresh = copies_by_message(batch)
-        parts = [fresh]
-        if done:
-            unknown = fresh.select(*KEY)
-            if (live := self._read([max(done)], True)) is not None:
-                parts.append(live)
-                unknown = unknown.join(live.select(*KEY), KEY, "left_anti")
-            if (gone := self._read(list(done), False)) is not None:
-                parts.append(self._newest(gone.join(unknown, KEY, "left_semi")))
-        merged = fresh
-        for part in parts[1:]:
-            merged = merged.unionByName(part)
-        merged = _merge(merged) if len(parts) > 1 else merged
-        stays = F.coalesce(F.col("last_seen") >= F.lit(watermark).cast("timestamp_ntz"), F.lit(watermark is None))
-        merged.withColumn("live", stays).write.mode("overwrite").partitionBy("live").parquet(f"{self.path}/batch={number}")
-        newest = self.spark.read.schema(MESSAGES).parquet(f"{self.path}/batch={number}").agg((F.max("last_seen") - F.expr(f"INTERVAL {self.horizon}")).cast("string")).first()[0]
-        mark = max([x for x in (watermark, newest) if x is not None], default=None)
-        control.write_json(self.spark, f"{self.path}/commits/{number}.json", {"batch": number, "watermark": mark})
-
-    @staticmethod
-    def _newest(records: DataFrame) -> DataFrame:
-        """Of a message's ledger records the one with the highest count: each later one holds the earlier ones."""
-        return records.groupBy("event_id", "canonical_payload_hash").agg(F.max_by(F.struct("kept", "n", "last_seen"), "n").alias("r")).select("event_id", "canonical_payload_hash", "r.kept", "r.n", "r.last_seen")
+        """Bring the state up to date with one batch; batches come in order, one that counts already is passed over."""
+        now = self.state()
+        if number <= now["batch"]:
+            return
+        updated = self.runs.dealt(copies_by_message(batch))
+        for place in ("live", "ledger"):  # the same partitioning on both sides, so only the batch's records are moved
+            if (known := self._records(now[place])) is not None:
+                known = known.select(*[F.col(k).alias(f"k_{k}") for k in KEY], F.col("kept").alias("k_kept"), F.col("n").alias(f"{place}_n"), F.col("last_seen").alias("k_seen"))
+                met = updated.join(known, [F.col(k) == F.col(f"k_{k}") for k in KEY], "left")
+                before = F.greatest(F.coalesce("before", F.lit(0)), F.coalesce(f"{place}_n", F.lit(0))) if "before" in updated.columns else F.coalesce(f"{place}_n", F.lit(0))
+                updated = met.select(*KEY, F.least("kept", "k_kept").alias("kept"), "n", F.greatest("last_seen", "k_seen").alias("last_seen"), before.alias("before"))
+        if "before" in updated.columns:
+            updated = updated.select(*KEY, "kept", (F.col("n") + F.col("before")).alias("n"), "last_seen")
+        name = f"batch-{number:09d}"
+        self.runs.write(updated, name, dealt=True)
+        newest = self._newest_in(name)
+        reach = None if newest is None else newest - self._horizon()
+        mark = max([x for x in (now["watermark"], reach) if x is not None], default=None)
+        runs = [*now["live"], {"name": name, "level": 0, "newest": newest}]
+        past = lambda r: r["newest"] is not None and mark is not None and r["newest"] < mark
+        after = {"batch": number, "watermark": mark, "live": [r for r in runs if not past(r)], "ledger": [*now["ledger"], *[r for r in runs if past(r)]], "buckets": self.runs.buckets}
+        gone = self._settle(after)
+        control.write_json(self.spark, f"{self.path}/state/{number:09d}.json", after)
+        for r in gone:
+            self.runs.drop(r["name"])
+
+    def _newest_in(self, name: str) -> int | None:
+        return self.runs.read([name]).agg(F.max(F.unix_micros(F.col("last_seen").cast("timestamp")))).first()[0]
+
+    def _horizon(self) -> int:
+        return self.spark.range(1).select(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {self.horizon}"))).first()[0]
+
+    def _settle(self, state: dict) -> list[dict]:
+        """Merge crowded levels of live state and ledger; returns the runs that the new state needs no more."""
+        gone = []
+        for place in ("live", "ledger"):
+            while (level := crowded_level(state[place], self.fanout)) is not None:
+                old = [r for r in state[place] if r["level"] == level]
+                name = f"merged-{state['batch']:09d}-{place}-{level + 1}"
+                self.runs.write(self._records(old), name, dealt=True)
+                made = {"name": name, "level": level + 1, "newest": max((r["newest"] for r in old if r["newest"] is not None), default=None)}
+                state[place] = [*[r for r in state[place] if r not in old], made]
+                gone += old
+        return gone
 
     def messages(self) -> DataFrame:
         """Every message seen so far with its kept copy and number of copies: live state and ledger together."""
-        done = self.commits()
-        live, gone = (self._read([max(done)], True), self._read(list(done), False)) if done else (None, None)
-        parts = [p for p in (live, gone) if p is not None]
-        if not parts:
-            return self.spark.createDataFrame([], MESSAGES)
-        if gone is None:
-            return parts[0]
-        both = parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
-        return self._newest(both)
+        now = self.state()
+        found = self._records([*now["live"], *now["ledger"]])
+        return self.spark.createDataFrame([], MESSAGES) if found is None else found
 
 
 def dedup_stream(spark: SparkSession, source: str, path: str, horizon: str = "1 day", max_files: int | None = None, max_bytes: str | None = None) -> SeenStore:
@@ -117,13 +141,15 @@ def kept_copies(messages: DataFrame, repeated_only: bool = False) -> DataFrame:
 def one_copy(rows: DataFrame, messages: DataFrame) -> DataFrame:
     """``rows`` with exactly one row of each message: its kept copy. Rows without identifier all stay.
 
-    Where several rows share the kept place (a row written twice, perhaps spelled otherwise) the least by its columns stays.
+    Only messages with several rows are looked up; all other rows pass. Where several rows share the kept place (a row written
+    twice, perhaps spelled otherwise) the least by its columns stays.
     """
     keyed = rows.withColumn("__e", plain_key("event_id")).withColumn("__h", F.coalesce(plain_key("canonical_payload_hash"), F.lit("")))
-    kept = messages.select(F.col("event_id").alias("__e"), F.col("canonical_payload_hash").alias("__h"), F.col("kept").alias("__kept"))
+    repeated = messages.filter("n > 1").select(F.col("event_id").alias("__e"), F.col("canonical_payload_hash").alias("__h"), F.col("kept").alias("__kept"))
+    met = keyed.join(repeated, ["__e", "__h"], "left")
     same = F.lit(True)
     for c in ("kafka_timestamp", "kafka_partition", "kafka_offset"):
         same = same & F.col(c).eqNullSafe(F.col(f"__kept.{c}"))
-    found = keyed.filter("__e IS NOT NULL").join(kept, ["__e", "__h"]).filter(same)
-    single = found.groupBy("__e", "__h").agg(F.min(F.struct(*rows.columns)).alias("__row")).select("__row.*")
-    return keyed.filter("__e IS NULL").select(*rows.columns).unionByName(single)
+    # both branches read one exchange
+    single = met.filter(F.col("__kept").isNotNull() & same).groupBy("__e", "__h").agg(F.min(F.struct(*rows.columns)).alias("__row")).select("__row.*")
+    return met.filter("__kept IS NULL").select(*rows.columns).unionByName(single)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import compaction, counters, dedup, drift, lsm, orphans, profile
 from tidemark.session import work_dir
+from tidemark.sources import files as control
 from tidemark.sources.tables import table, table_path
 
 REFERENCE_TABLES = ("stg_orders", "stg_order_items", "stg_customers", "removed_keys")
@@ -44,7 +45,9 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 def p2_state(spark: SparkSession, sf: str) -> DataFrame:
     work = work_dir(spark, "p2")
     source, each = sliced(spark, table_path(sf, "order_changes"), f"{work}/feed", "kafka_offset", P2_BATCHES)
-    return lsm.apply_feed(spark, source, work, max_files=each).read()
+    applied = lsm.apply_feed(spark, source, work, max_files=each)
+    control.delete(spark, source)
+    return applied.read()
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,7 +137,9 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 def _seen(spark: SparkSession, sf: str) -> dedup.SeenStore:
     work = work_dir(spark, "p6")
     source, each = sliced(spark, table_path(sf, "bronze_orders"), f"{work}/arrivals", "kafka_timestamp", P6_BATCHES, (*dedup.KEY, "kafka_timestamp", "kafka_partition", "kafka_offset"))
-    return dedup.dedup_stream(spark, source, work, max_files=each)
+    seen = dedup.dedup_stream(spark, source, work, max_files=each)
+    control.delete(spark, source)
+    return seen
 
 
 def p6_rows(spark: SparkSession, sf: str) -> DataFrame:
