@@ -250,3 +250,38 @@ ORACLE: dict[str, str] = {
     "current_conflicts": f"""WITH {SIDES} SELECT i.order_id, i.business_version, c.amount AS current_amount, i.amount AS incoming_amount FROM inc i JOIN cur c USING (order_id, business_version) WHERE c.amount IS DISTINCT FROM i.amount OR c.status IS DISTINCT FROM i.status""",
     "largest_payment": """SELECT ingest_date, row_number() OVER (PARTITION BY ingest_date ORDER BY payment_value DESC)::INTEGER AS place, payment_value FROM (SELECT DISTINCT ingest_date, order_id, payment_sequential, payment_value FROM stg_order_payments WHERE payment_value IS NOT NULL) QUALIFY place <= 3""",
 }
+
+GOOD = """good AS (SELECT order_id, customer, amount, country, status, (event_time AT TIME ZONE 'UTC')::DATE AS event_date, business_version FROM streaming_orders WHERE order_id <> '' AND business_version IS NOT NULL),
+    lake AS (SELECT order_id, customer, amount, country, CASE WHEN status = 'paid' THEN 'delivered' ELSE status END AS status, event_date, business_version + CASE WHEN status = 'paid' THEN 1 ELSE 0 END AS business_version FROM good)"""
+SENT = """sent AS (SELECT *, CASE WHEN order_id IS NULL THEN 'missing_order_id' WHEN lower(canonical_payload_hash) <> sha256(canonical_payload) THEN 'canonical_payload_hash_mismatch' ELSE 'valid' END AS reason FROM bronze_orders)"""
+
+ORACLE |= {
+    "snapshot_replace": f"WITH {SIDES} SELECT order_id, business_version, kafka_partition, kafka_offset FROM inc UNION ALL SELECT order_id, business_version, kafka_partition, kafka_offset FROM cur WHERE order_id NOT IN (SELECT order_id FROM inc)",
+    "snapshot_history": f"""WITH {SIDES}, after AS (SELECT order_id, business_version FROM inc UNION ALL SELECT order_id, business_version FROM cur WHERE order_id NOT IN (SELECT order_id FROM inc))
+        SELECT 1 AS snapshot_id, NULL AS parent_id, 'append' AS operation, count(*) AS listed_rows, count(*) AS read_rows, max(business_version) AS max_version FROM cur
+        UNION ALL SELECT 2, 1, 'replace', count(*), count(*), max(business_version) FROM after""",
+    "snapshot_keyed_read": f"WITH {SILVER} SELECT order_id, business_version, country FROM silver WHERE order_id IN (SELECT order_id FROM streaming_orders WHERE status = 'created' AND order_id IS NOT NULL)",
+    "snapshot_services": 'SELECT event_date, count(*) AS "rows", 1 AS versions, 0 AS orphans FROM bronze_orders GROUP BY event_date',
+    "snapshot_evolution": 'SELECT business_version IS NULL AS unversioned, count(*) AS "rows", 0 AS rows_now FROM bronze_orders GROUP BY 1',
+    "audit_upsert": "SELECT run_id, CASE WHEN status = 'success' THEN status ELSE 'running' END AS status, stg_orders, null_key_rows FROM pipeline_runs",
+    "lake_silver": f"WITH {GOOD} SELECT order_id, business_version, status, event_date FROM lake",
+    "lake_gold": f"WITH {GOOD} SELECT event_date, country, status, count(order_id) AS orders_count, sum(amount)::DECIMAL(18,2) AS total_amount, count(DISTINCT customer) AS distinct_customers FROM lake GROUP BY ALL",
+    "lake_receipts": f"""WITH {GOOD} SELECT 1 AS sequence, 'success' AS result, count(*) AS changed_keys, count(*) AS bronze_rows FROM good UNION ALL SELECT 2, 'success', count(*), count(*) FROM good WHERE status = 'paid'""",
+    "stream_receipts": f"WITH {SENT} SELECT kafka_partition, count(*) AS observed, count(*) FILTER (reason = 'valid') AS valid, count(*) FILTER (reason <> 'valid') AS dead_letter, min(kafka_offset) AS min_offset, max(kafka_offset) AS max_offset FROM sent GROUP BY ALL",
+    "stream_landing": f"""WITH {SENT} SELECT event_time::DATE AS event_date, count(*) AS "rows", count(DISTINCT order_id) AS orders FROM sent WHERE reason = 'valid' GROUP BY ALL""",
+    "stream_dead_letters": f"""WITH {SENT} SELECT kafka_timestamp::DATE AS dead_letter_date, reason AS dead_letter_reason, count(*) AS "rows" FROM sent WHERE reason <> 'valid' GROUP BY ALL""",
+    "stream_serving": f"""WITH {SENT} SELECT order_id, business_version, kafka_offset FROM sent WHERE reason = 'valid'
+        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY business_version DESC NULLS LAST, kafka_offset DESC NULLS FIRST) = 1""",
+    "stream_epoch": """WITH sent AS (SELECT event_id, event_time, CASE WHEN order_id IS NULL THEN 'missing_order_id' WHEN source_epoch_id IS NULL THEN 'missing_source_epoch_id' WHEN source_epoch_id <> 'epoch-2015-03-01' THEN 'source_epoch_mismatch' WHEN event_id IS NULL THEN 'missing_event_id'
+            WHEN canonical_payload IS NULL OR canonical_payload_hash IS NULL THEN 'missing_canonical_lineage' WHEN lower(canonical_payload_hash) <> sha256(canonical_payload) THEN 'canonical_payload_hash_mismatch' ELSE 'valid' END AS reason FROM bronze_orders)
+        SELECT 'landed' AS outcome, count(DISTINCT event_id) AS "rows" FROM sent WHERE reason = 'valid' AND coalesce(event_time > TIMESTAMP '1970-01-01', true) UNION ALL SELECT reason, count(*) FROM sent WHERE reason <> 'valid' GROUP BY ALL""",
+    "csv_staging": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS file_records, count(*) AS loaded_rows, 0 AS only_loaded, 0 AS only_stored FROM stg_{t}" for t in ("orders", "order_items", "order_payments", "customers")),
+    "published_marts": core("SELECT sales_date, 'sales_daily' AS mart, orders_cnt, items_cnt, gross_sales FROM days UNION ALL SELECT sales_date, 'customer_state_daily', orders_cnt, items_cnt, gross_sales FROM states"),
+    "catalog_columns": "SELECT table_name, ordinal_position - 1 AS position, column_name FROM information_schema.columns WHERE table_name IN ('stg_orders', 'stg_order_items', 'stg_order_payments', 'stg_customers', 'bronze_orders', 'streaming_orders')",
+    "canonical_digests": """WITH texts AS (SELECT country, to_json({'business_version': business_version, 'country': country, 'customer': customer, 'order_id': order_id, 'status': status})::VARCHAR AS t FROM streaming_orders)
+        SELECT country, count(*) AS "rows", sum(length(t))::BIGINT AS characters, sum(('0x' || substr(sha256(t), 1, 15))::BIGINT)::VARCHAR AS digest FROM texts GROUP BY ALL""",
+    "equal_as_multisets": """SELECT 'itself' AS compared, true AS equal UNION ALL SELECT 'without repeats', (SELECT count(*) FROM stg_order_payments) = (SELECT count(*) FROM (SELECT DISTINCT * FROM stg_order_payments))
+        UNION ALL SELECT 'orders and items', NOT EXISTS (SELECT order_id FROM stg_order_payments EXCEPT ALL SELECT order_id FROM stg_order_items) AND NOT EXISTS (SELECT order_id FROM stg_order_items EXCEPT ALL SELECT order_id FROM stg_order_payments)""",
+    "files_never_landed": """SELECT *, 'left' AS unmatched_side FROM (SELECT file_id FROM file_log WHERE log_action = 'add' EXCEPT SELECT file_id FROM landing_files) UNION ALL SELECT *, 'right' FROM (SELECT file_id FROM landing_files EXCEPT SELECT file_id FROM file_log WHERE log_action = 'add')""",
+    "synthetic_orders": 'SELECT count(*) AS "rows", count(*) AS keys, 0 AS outside FROM stg_orders',
+}

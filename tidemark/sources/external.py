@@ -13,9 +13,9 @@ STAGING = {
 }
 
 
-def staged_csv(spark: SparkSession, path: str, table: str, ingest_date: str) -> DataFrame:
-    """A CSV file with header as a staging table. Any malformed row fails the load; an empty unquoted field is NULL, a quoted one is empty text."""
-    reader = spark.read.schema(STAGING[table]).option("header", True).option("mode", "FAILFAST").option("multiLine", True).option("escape", '"').option("emptyValue", "").option("nullValue", None)
+def staged_csv(spark: SparkSession, path: str, table: str, ingest_date: str, null: str | None = None) -> DataFrame:
+    """A CSV file with header as a staging table. Any malformed row fails the load; an empty unquoted field, or the text ``null`` where it is given, is NULL, a quoted one is empty text."""
+    reader = spark.read.schema(STAGING[table]).option("header", True).option("mode", "FAILFAST").option("multiLine", True).option("escape", '"').option("emptyValue", "").option("nullValue", null)
     return reader.csv(path).withColumn("ingest_date", F.lit(ingest_date).cast("date"))
 
 
