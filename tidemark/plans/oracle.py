@@ -139,7 +139,7 @@ ORACLE: dict[str, str] = {
     "p4_records": """WITH small AS (SELECT * FROM landing_files WHERE strlen(coalesce(body, '')) < 8192 AND file_id IN (SELECT file_id FROM file_log GROUP BY file_id HAVING arg_max(log_action, log_seq) = 'add')),
         parts AS (SELECT event_date, file_id, list_filter(string_split(body, chr(10)), lambda x: length(trim(x)) > 0) AS l FROM small)
         SELECT event_date, file_id, unnest(range(len(l)))::INTEGER AS line_no, unnest(l) AS record FROM parts""",
-    "p4_log_balance": """WITH entries AS (SELECT DISTINCT log_seq, load_id, log_action, file_id FROM file_log), logged AS (SELECT load_id, count(*) FILTER (log_action = 'add') AS log_added, count(*) FILTER (log_action = 'remove') AS log_removed FROM entries GROUP BY ALL),
+    "p4_log_balance": """WITH entries AS (SELECT DISTINCT load_id, log_action, file_id FROM file_log), logged AS (SELECT load_id, count(*) FILTER (log_action = 'add') AS log_added, count(*) FILTER (log_action = 'remove') AS log_removed FROM entries GROUP BY ALL),
         said AS (SELECT load_id, max(files_added) AS said_added, max(files_removed) AS said_removed FROM lakehouse_metrics WHERE load_id IS NOT NULL GROUP BY ALL)
         SELECT load_id, log_added, log_removed, said_added, said_removed, log_added IS NOT DISTINCT FROM said_added AND log_removed IS NOT DISTINCT FROM said_removed AS agrees FROM logged FULL JOIN said USING (load_id)""",
     "p5_found": f"""WITH {PROFILE}, metrics AS (UNPIVOT (SELECT load_day, column_name, null_share, blank_share, top_share, pattern_share, distinct_count, min_value, max_value, median_value FROM prof) ON null_share, blank_share, top_share, pattern_share, distinct_count, min_value, max_value, median_value INTO NAME metric VALUE measured),
