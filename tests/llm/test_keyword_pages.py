@@ -98,3 +98,11 @@ def test_repeated_sentences_separators_and_numbered_labels(name):
 @pytest.mark.parametrize("name", TOLD)
 def test_refrains_measures_and_references_are_no_cases(name):
     assert keyword_share(TOLD[name], None) <= 0.5
+
+
+def test_markup_is_found_wherever_it_begins():
+    from tidemark.llm.page_text import body_lines
+
+    page = "<html><body><nav><a href='/x'>Zebra quux</a></nav><p>Hi there</p></body></html>".encode()
+    assert body_lines("", page) == body_lines("", b" " * 5000 + page) == ["Hi there"]
+    assert body_lines("if a < b and c > d then", b"if a < b and c > d then") == ["if a < b and c > d then"]

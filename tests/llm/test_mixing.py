@@ -106,3 +106,54 @@ def test_held_sources_add_up_to_the_greatest_flow():
         assert abs(sum(sum(r.values()) for r in routes.values()) - greatest) <= len(names)
         assert all(sum(r.get(s, 0) for r in routes.values()) <= quota[s] for s in names)
         assert all(sum(r.values()) <= patterns[k] * min(repeats[s] for s in k) for k, r in routes.items())
+
+
+def test_more_than_ten_thousand_sets_of_sources(spark):
+    """Fourteen sources that overlap in 10,001 ways: no cap, every quota filled."""
+    names = [f"s{i:02d}" for i in range(14)]
+    sets = [[n for j, n in enumerate(names) if (i >> j) & 1] for i in range(1, 10_002)]
+    targets = [(n, 1 / 14, 2) for n in names]
+    sizes = spark.createDataFrame([(i, 5 + i % 7, s, 7, 7) for i, s in enumerate(sets)], SIZES)
+    wanted = sum(5 + i % 7 for i in range(10_001)) // 2
+    tokens = {r.source: r.t for r in mixing.mix(sizes, spark.createDataFrame(targets, TARGETS), wanted=wanted).filter("uses > 0").groupBy("source").agg({"n_tokens": "sum"}).withColumnRenamed("sum(n_tokens)", "t").collect()}
+    assert set(tokens) == set(names) and all(abs(t - wanted / 14) < 0.05 * wanted for t in tokens.values())
+
+
+def test_flow_equals_that_of_single_paths():
+    """Cost and size against flow sent token by token along cheapest paths."""
+    rng = random.Random(4)
+    for _ in range(60):
+        names = "abcd"[: rng.randrange(1, 5)]
+        patterns = {tuple(sorted(rng.sample(names, rng.randrange(1, len(names) + 1)))): rng.randrange(1, 6) for _ in range(4)}
+        repeats, quota = {s: rng.randrange(1, 4) for s in names}, {s: rng.randrange(0, 9) for s in names}
+
+        def build():
+            net, keys = mixing.FlowNetwork(2 + len(patterns) + len(names)), sorted(patterns)
+            for i, key in enumerate(keys):
+                for use in range(min(repeats[s] for s in key)):
+                    net.connect(0, 2 + i, patterns[key], use)
+                for s in key:
+                    net.connect(2 + i, 2 + len(keys) + names.index(s), patterns[key] * repeats[s], 0)
+            for j, s in enumerate(names):
+                net.connect(2 + len(keys) + j, 1, quota[s], 0)
+            return net
+
+        def by_paths(net):
+            flow = cost = 0
+            while True:
+                far, came = {0: 0}, {}
+                for _ in net.edges:  # cheapest paths, edge by edge
+                    for node, edges in enumerate(net.edges):
+                        for e in edges:
+                            if node in far and e.room > 0 and far[node] + e.cost < far.get(e.to, 99):
+                                far[e.to], came[e.to] = far[node] + e.cost, (node, e)
+                if 1 not in far:
+                    return flow, cost
+                flow, cost, node = flow + 1, cost + far[1], 1
+                while node:
+                    before, e = came[node]
+                    e.room -= 1
+                    net.edges[node][e.back].room += 1
+                    node = before
+
+        assert build().run(0, 1) == by_paths(build())

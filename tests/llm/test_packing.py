@@ -67,3 +67,11 @@ def test_leftovers_of_a_single_task_are_packed_again_largest_first(spark, tmp_pa
     got = run(spark, tmp_path / "a", sizes, kinds=(("l", 400, ""),), most=128)
     assert sorted((doc, n) for _, _, doc, _, n in got) == list(enumerate(sizes))
     assert len({c for _, c, *_ in got}) == 30
+
+
+def test_documents_without_tokens_have_a_row(spark, tmp_path):
+    sizes = spark.createDataFrame([(1, 5, "x", 0), (2, 0, "x", 0), (3, None, "x", 0)], SIZES)
+    kinds = spark.createDataFrame([("s", 50, ""), ("l", 400, ""), ("z", 0, "")], KINDS)
+    got = packing.with_empty(packing.pack(spark, sizes, kinds, str(tmp_path / "a")), sizes, kinds)
+    assert sorted((r.container_kind, r.doc_id, r.container_id is None, r.n_tokens) for r in got.collect()) == [("l", 1, False, 5), ("l", 2, True, 0), ("l", 3, True, 0), ("s", 1, False, 5), ("s", 2, True, 0), ("s", 3, True, 0)]
+    assert {r.container_kind: r.containers for r in packing.fill(got, kinds).collect()} == {"s": 1, "l": 1}

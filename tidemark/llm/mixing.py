@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 #: Buckets of the seeded order within a pattern; a bucket's documents are summed by one task.
 BUCKETS = 16_384
-#: Most membership patterns that may be brought to the driver.
-MOST_PATTERNS = 10_000
 
 
 @dataclass
@@ -38,37 +36,50 @@ class FlowNetwork:
         return forward
 
     def run(self, source: int, sink: int) -> tuple[int, int]:
-        """Greatest flow and its least cost."""
-        flow = cost = 0
-        while True:
-            far = {source: 0}
-            came: dict[int, tuple[int, _Edge]] = {}
-            queue = [source]
-            while queue:
-                following = []
-                for node in queue:
-                    for edge in self.edges[node]:
-                        price = far[node] + edge.cost
-                        if edge.room > 0 and price < far.get(edge.to, price + 1):
-                            far[edge.to] = price
-                            came[edge.to] = (node, edge)
-                            following.append(edge.to)
-                queue = following
-            if sink not in came:
-                return flow, cost
-            amount, node = None, sink
-            while node != source:
-                before, edge = came[node]
-                amount = edge.room if amount is None else min(amount, edge.room)
-                node = before
-            node = sink
-            while node != source:
-                before, edge = came[node]
-                edge.room -= amount
-                self.edges[node][edge.back].room += amount
-                node = before
-            flow, cost = flow + amount, cost + amount * far[sink]
+        """Greatest flow and its least cost, where only edges out of the source cost anything.
 
+        A path's cost is then that of its first edge, so shortest paths come cost by cost: at each cost the cheaper edges and those
+        of this cost carry a greatest flow by blocking flows in the graph of levels.
+        """
+        flow = cost = 0
+        first = self.edges[source]
+        for price in sorted({e.cost for e in first}):
+            usable = [e for e in first if e.cost <= price]
+            while True:
+                level, queue = {source: 0}, [source]
+                while queue and sink not in level:
+                    following = []
+                    for node in queue:
+                        for e in usable if node == source else self.edges[node]:
+                            if e.room > 0 and e.to not in level:
+                                level[e.to] = level[node] + 1
+                                following.append(e.to)
+                    queue = following
+                if sink not in level:
+                    break
+                for start in usable:
+                    if start.room > 0 and level.get(start.to) == 1:
+                        sent = self._push(start.to, sink, start.room, level)
+                        start.room -= sent
+                        self.edges[start.to][start.back].room += sent
+                        flow, cost = flow + sent, cost + sent * start.cost
+        return flow, cost
+
+    def _push(self, node: int, sink: int, most: int, level: dict[int, int]) -> int:
+        """Send up to ``most`` from a node to the sink along rising levels; a node that is spent leaves the levels."""
+        if node == sink:
+            return most
+        sent = 0
+        for e in self.edges[node]:
+            if e.room > 0 and level.get(e.to) == level[node] + 1:
+                part = self._push(e.to, sink, min(most - sent, e.room), level)
+                e.room -= part
+                self.edges[e.to][e.back].room += part
+                sent += part
+                if sent == most:
+                    return sent
+        del level[node]
+        return sent
 
     def reached(self, source: int) -> set[int]:
         """Nodes that more flow could still get to."""
@@ -84,6 +95,7 @@ class FlowNetwork:
 def _send(patterns: dict[tuple[str, ...], int], quota: dict[str, int], repeats: dict[str, int]) -> tuple[dict[tuple[str, ...], dict[str, int]], set[str]]:
     """Tokens of each pattern for each source in the greatest flow up to the quotas, and the sources that can get no more; these are none if all are filled."""
     names, keys = sorted(quota), sorted(patterns)
+    place = {s: j for j, s in enumerate(names)}
     net = FlowNetwork(2 + len(keys) + len(names))
     sent = {}
     for i, key in enumerate(keys):
@@ -91,7 +103,7 @@ def _send(patterns: dict[tuple[str, ...], int], quota: dict[str, int], repeats:
             net.connect(0, 2 + i, patterns[key], use)
         for s in key:
             room = patterns[key] * repeats[s]
-            sent[key, s] = (net.connect(2 + i, 2 + len(keys) + names.index(s), room, 0), room)
+            sent[key, s] = (net.connect(2 + i, 2 + len(keys) + place[s], room, 0), room)
     for j, s in enumerate(names):
         net.connect(2 + len(keys) + j, 1, quota[s], 0)
     flow, _ = net.run(0, 1)
@@ -134,18 +146,21 @@ def fullest_route(patterns: dict[tuple[str, ...], int], shares: dict[str, float]
     def attempt(total: int) -> tuple[dict[tuple[str, ...], dict[str, int]], set[str]]:
         return _send(patterns, {s: held.get(s, int(shares[s] * total)) for s in shares}, repeats)
 
-    low, (routes, short) = 0, attempt(high)
+    routes, short = attempt(high)
     while short:
-        above = high
-        while above - low > 1:
-            middle = (low + above) // 2
-            _, lacking = attempt(middle)
-            if lacking:
-                above, short = middle, lacking
-            else:
-                low = middle
-        held |= {s: int(shares[s] * low) for s in short - held.keys()}
+        # the sources that are short get all there is for them, which tells the total they could fill; where others are short then, again
+        low = high
+        while True:
+            free = short - held.keys()
+            low = min(low - 1, int(sum(r.get(s, 0) for r in routes.values() for s in free) / sum(shares[s] for s in free))) if free else low
+            routes, lacking = attempt(low)
+            if not lacking - held.keys() or low <= 0:
+                break
+            short = lacking
+        held |= {s: int(shares[s] * max(low, 0)) for s in short - held.keys()}
         routes, short = attempt(high)
+        if not short - held.keys():
+            break
     return routes
 
 
@@ -163,9 +178,8 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 42, wanted: int | None
     shares, repeats = {r.source: r.target_share / whole for r in rows}, {r.source: r.max_repeats for r in rows}
     wantable = F.array(*[F.lit(s) for s in sorted(shares)]) if shares else F.array().cast("array<string>")
     keyed = sizes.withColumn("members", F.array_sort(F.array_intersect(F.coalesce("sources", F.array().cast("array<string>")), wantable))).withColumn("pattern", F.when((F.size("members") > 0) & (F.col("n_tokens") > 0), F.concat_ws("\u0001", "members")))
-    sums = keyed.filter("pattern IS NOT NULL").groupBy("pattern").agg(F.sum("n_tokens").alias("t")).limit(MOST_PATTERNS + 1).collect()
-    if len(sums) > MOST_PATTERNS:
-        raise ValueError(f"more than {MOST_PATTERNS} sets of sources")
+    # one row per set of target sources: at most two to the power of their number, whatever the number of documents
+    sums = keyed.filter("pattern IS NOT NULL").groupBy("pattern").agg(F.sum("n_tokens").alias("t")).collect()
     patterns = {tuple(r.pattern.split("\u0001")): r.t for r in sums}
     routes = fullest_route(patterns, shares, repeats, wanted) if shares else {}
 
@@ -189,8 +203,8 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 42, wanted: int | None
     ran = placed.withColumn("before", F.coalesce(F.sum("n_tokens").over(in_bucket), F.lit(0))).join(starts, ["pattern", "bucket"])
     # a document lies in the span that holds its middle
     middle = F.col("bucket_start") + F.col("before") + F.col("n_tokens") / 2
-    # one row per pattern: at most MOST_PATTERNS
-    lined = ran.withColumn("middle", middle).join(F.broadcast(per_pattern), "pattern", "left")
+    # one row per pattern; Spark broadcasts it by its size or not
+    lined = ran.withColumn("middle", middle).join(per_pattern, "pattern", "left")
     hits = F.transform(F.coalesce("spans", F.array().cast("array<struct<span_start:bigint,span_end:bigint,source:string>>")), lambda s: F.struct(
         s["source"].alias("source"),
         F.size(F.filter(F.sequence(F.lit(0), F.coalesce("most", F.lit(1)) - 1), lambda k: (k * F.col("pattern_tokens") + F.col("middle") >= s["span_start"]) & (k * F.col("pattern_tokens") + F.col("middle") < s["span_end"]))).alias("uses"),

@@ -116,7 +116,7 @@ def pack(spark: SparkSession, sizes: DataFrame, kinds: DataFrame, path: str, mos
     """``(container_kind, container_id, doc_id, piece, n_tokens)``; every item of every kind in exactly one container.
 
     ``sizes`` has ``doc_id`` and ``n_tokens`` and should be stored. Rounds are stored below ``path``. The result does not
-    depend on how the input is partitioned.
+    depend on how the input is partitioned. Documents without tokens are left out; see ``with_empty``.
     """
     items = items_of(sizes, kinds)
     total = sizes.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
@@ -139,8 +139,16 @@ def pack(spark: SparkSession, sizes: DataFrame, kinds: DataFrame, path: str, mos
     return out
 
 
+def with_empty(packed: DataFrame, sizes: DataFrame, kinds: DataFrame) -> DataFrame:
+    """``packed`` and a row per kind for each document without tokens, which takes no room: its container is NULL."""
+    named = [r.container_kind for r in kinds.filter("capacity_tokens > 0").select("container_kind").distinct().collect()]  # a fixed small table
+    each = F.explode(F.array(*[F.lit(k).cast("string") for k in named]) if named else F.array().cast("array<string>"))
+    empty = sizes.filter("n_tokens IS NULL OR n_tokens <= 0").select("doc_id", each.alias("container_kind"))
+    return packed.unionByName(empty.select("container_kind", F.lit(None).cast("string").alias("container_id"), "doc_id", F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("n_tokens")))
+
+
 def fill(packed: DataFrame, kinds: DataFrame) -> DataFrame:
     """Containers, tokens and share of room used per kind."""
-    each = packed.groupBy("container_kind", "container_id").agg(F.sum("n_tokens").alias("used"))
+    each = packed.filter("container_id IS NOT NULL").groupBy("container_kind", "container_id").agg(F.sum("n_tokens").alias("used"))
     per_kind = each.groupBy("container_kind").agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"))
     return per_kind.join(kinds.select("container_kind", "capacity_tokens").distinct(), "container_kind").withColumn("share_used", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6))

@@ -31,6 +31,8 @@ _ASIDE = re.compile(r'(?i)<(nav|footer|script|style|header|aside)\b|<(div)\s+cla
 _BLOCK = re.compile(r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|table|tr|td|br|section|article|blockquote|pre)\b[^<>]*>")
 _LINK = re.compile(r'(?i)<a\b[^<>]*?href\s*=\s*["\']?([^"\'<>\s]*)[^<>]*>')
 _TAG = re.compile(r"<[^<>]+>")
+#: A tag that only pages with markup have, wherever it stands.
+_MARKUP = re.compile(r"(?i)<(?:!doctype|html|head|body|title|meta|div|p|nav|footer|main|article|section|table|tr|td|ul|ol|li|h[1-6]|br|span|a)(?=[\s>/])")
 
 #: Words of menus, cookie notices and footers, used only for pages without markup.
 MENU_WORDS = frozenset(
@@ -94,7 +96,7 @@ def body_lines(text: str | None, raw: bytes | None) -> list[str]:
     """
     if raw:
         source = decode(bytes(raw))
-        if "<" in source[:400]:
+        if _MARKUP.search(source):
             start = source.lower().find("<body")
             source = _LINK.sub(r" \1 ", _own_part(source[max(start, 0) :]))
             source = html.unescape(_TAG.sub(" ", _BLOCK.sub("\n", source)))

@@ -18,8 +18,9 @@ def _sizes(spark: SparkSession, sf: str, path: str, *keep: str) -> DataFrame:
 
 
 def p8_pack(spark: SparkSession, sf: str) -> DataFrame:
-    path = work_dir(spark, "p8")
-    return packing.pack(spark, _sizes(spark, sf, f"{path}/sizes"), table(spark, sf, "container_sizes"), f"{path}/rounds")
+    path, kinds = work_dir(spark, "p8"), table(spark, sf, "container_sizes")
+    sizes = _sizes(spark, sf, f"{path}/sizes")
+    return packing.with_empty(packing.pack(spark, sizes, kinds, f"{path}/rounds"), sizes, kinds)
 
 
 def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
