@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,6 +162,75 @@ def test_torn_and_hidden_files_are_passed_over(spark, tmp_path):
     assert state(house) == [("a", 1, 1.0)] and house.bronze.versions() == [1]
 
 
+def test_manifest_classifier(spark):
+    """Against a plain loop over manifests in the order of their ids."""
+    rng = random.Random(6)
+    ids = [f"o{i}" for i in range(12)]
+    make = lambda o, v: (o, "c", 1.0, "UK", "paid", T, T, 0, 1, dt.date(2026, 8, 7), v)
+    bronze = [make(o, rng.choice([1, 2])) for o in ids[:10] for _ in range(rng.choice([1, 1, 2]))]
+    newest = {}
+    for r in bronze:
+        newest[r[0]] = max(newest.get(r[0], 0), r[10])
+    silver = [make(o, newest[o] if rng.random() < 0.8 else 9) for o in ids[:9]]
+    manifests, rows, snaps, flying = [], [], [], []
+    for n in range(40):
+        load = f"l{n:02d}"
+        manifests.append((load, [f"s{n}"], [] if rng.random() < 0.1 else [f"f{n}"]))
+        rows += [(load, *make(rng.choice([*ids[:8], *ids[:8], rng.choice([*ids, None])]), rng.choice([None, 1, 2]))) for _ in range(rng.randrange(0, 3))]
+        snaps += [(load, rng.choice([10.0, 10.0, 30.0]))] * rng.choice([1, 1, 1, 1, 0, 2])
+        if rng.random() < 0.1:
+            flying.append((f"x{n}", [f"s{n}"], []))
+    left, want = Counter(tuple(r[:6]) + (r[10],) for r in bronze), {}
+    state = {r[0]: r[10] for r in silver}
+    for load, sources, data in sorted(manifests):
+        why = set()
+        why |= {"no_physical_file_provenance"} if not data else set()
+        at = [t for k, t in snaps if k == load]
+        why |= {"load_id_not_found_in_bronze_snapshot_history"} if not at else {"load_id_has_ambiguous_bronze_snapshots"} if len(at) > 1 else {"manifest_is_post_migration_work"} if at[0] > 20 else set()
+        active = any(set(s) & set(sources) for _, s, _ in flying)
+        why |= {"active_or_inflight_progress"} if active else set()
+        need = Counter()
+        for r in (r for r in rows if r[0] == load):
+            if r[1] is None:
+                why.add("null_order_id")
+                continue
+            need[tuple(r[1:7]) + (r[11] or 1,)] += 1
+            o = r[1]
+            why |= {"order_id_missing_from_authoritative_bronze"} if o not in newest else {"order_id_missing_from_current_silver"} if o not in state else {"silver_not_at_authoritative_b2_version"} if state[o] != newest[o] else set()
+        for k, n in need.items():
+            if left[k] < n:
+                why.add("rows_not_fully_represented_in_authoritative_bronze")
+            left[k] -= n
+        want[load] = (sorted(why), "IN_FLIGHT_BLOCKED" if active else "LIVE_POST_MIGRATION" if why == {"manifest_is_post_migration_work"} else "SAFE_STALE" if not why else "BLOCKED")
+    parts = "load_id string, source_paths array<string>, bronze_data_files array<string>"
+    got = lh.classify_manifests(spark.createDataFrame(manifests, parts), spark.createDataFrame(rows, "load_id string, " + EVENTS), spark.createDataFrame(bronze, EVENTS), spark.createDataFrame(silver, EVENTS), spark.createDataFrame(snaps, "load_id string, committed_at double"), 20.0, spark.createDataFrame(flying, parts))
+    assert {r.load_id: (r.reasons, r.status) for r in got.collect()} == want
+    assert {"SAFE_STALE", "BLOCKED", "LIVE_POST_MIGRATION", "IN_FLIGHT_BLOCKED"} == {s for _, s in want.values()}
+
+
+def test_noop_acknowledgement_metrics_and_backfill(spark, tmp_path):
+    landing, house = Landing(spark, str(tmp_path)), lh.Lakehouse(spark, str(tmp_path / "lake"))
+    landing.add([row("a", 1, 1), row("b", 1, 2)])
+    house.ingest(landing.path)
+    (path,) = house.outbox()
+    assert house.acknowledge_noop(path) is False and house.receipts().count() == 0
+    house.project()
+    landing.add([row("a", 1, 1)])
+    house.ingest(landing.path)
+    (path,) = house.outbox()
+    assert house.acknowledge_noop(path) and house.outbox() == [path]
+    assert house.project() == [] and house.outbox() == [] and house.receipts().filter("changed_keys = 0").count() == 1
+    house.maintain("2h")
+    again = lh.Lakehouse(spark, str(tmp_path / "lake"))  # another process finds what was recorded
+    assert {r.source for r in again.metric_rows().collect()} >= {"writer", "silver", "maintenance"} and again.metric_rows().filter("source = 'writer'").agg(F.sum("rows_processed")).first()[0] == 3
+    assert len(again.metric_rows().columns) == 29 and {r.table for r in again.audit_rows().collect()} == {"bronze", "silver"}
+    old = lh.SnapshotTable(spark, str(tmp_path / "old"))
+    old.append(spark.createDataFrame([row("x", None, 1), row("y", 2, 2)], EVENTS))
+    assert lh.backfill_table(old) == {"unversioned": 1, "would_change": True, "changed": False} and len(old.versions()) == 1
+    assert lh.backfill_table(old, apply=True)["changed"] and old.read().filter("business_version = 1").count() == 1
+    assert lh.backfill_table(old, apply=True) == {"unversioned": 0, "would_change": False, "changed": False}
+
+
 def test_small_contracts(spark):
     assert lh.plain_uri("s3a://b/k/x") == "b/k/x" and lh.plain_uri("b/k") == "b/k"
     with pytest.raises(ValueError):

@@ -21,6 +21,7 @@ def test_tables_appear_together(spark, tmp_path):
 def test_texts(spark):
     html = publish.html_report({"Numbers": spark.range(2).withColumn("x", F.lit(None).cast("string"))})
     assert "<h2>Numbers</h2>" in html and "<td>1</td>" in html
+    assert "rows.</p>" not in html and "The first 3 of 7 rows." in publish.html_report({"N": spark.range(7)}, rows=3)
     text = publish.exposition([{"metric_ts": 1, "source": "w", "status": "failed", "rows": 1}, {"metric_ts": 2, "source": "w", "status": "success", "rows": 5}])
     assert 'tidemark_source_up{source="w"} 1' in text and 'tidemark_rows{source="w"} 5' in text
 

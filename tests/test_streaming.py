@@ -110,3 +110,13 @@ def test_lost_offsets_fail_loudly(spark, tmp_path):
     assert [(s.start, s.end) for s in lenient.partitions(start, lenient.latestOffset())] == [(2, 3)]
     log.append([("k", "m3"), ("k", "m4")])
     assert lenient.latestOffset() == {"0": 4}  # one offset per trigger
+
+
+def test_throttle_from_the_first_trigger_and_after_a_restart(spark, tmp_path):
+    log = topiclog.TopicWriter(str(tmp_path / "t"), partitions=2)
+    log.append([(None, f"m{i}") for i in range(40)])
+    options = {"path": str(tmp_path / "t"), "maxOffsetsPerTrigger": "10", "progressFile": str(tmp_path / "progress.json")}
+    stream = topiclog.TopicStream(options)
+    assert stream.latestOffset() == {"0": 5, "1": 5}  # shared out, not the low partition first
+    assert topiclog.TopicStream(options).latestOffset() == {"0": 10, "1": 10}  # a restart goes on from there
+    assert topiclog._shared_out({"0": 7, "1": 1, "2": 0}, 4) == {"0": 4, "1": 0, "2": 0} and topiclog._shared_out({"0": 2}, 4) == {"0": 2}

@@ -103,7 +103,10 @@ def _payment_patterns(baseline: DataFrame) -> dict[str, str]:
 
 
 def _payment_frequencies(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.frequencies(table(spark, sf, "stg_order_payments"), "ingest_date")
+    """Unpivoted and counted once, stored: profile, quantiles and drift all read these counts."""
+    path = work_dir(spark, "p5")
+    profile.frequencies(table(spark, sf, "stg_order_payments"), "ingest_date").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

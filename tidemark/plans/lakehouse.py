@@ -14,13 +14,18 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators import quality, versions
 from tidemark.plans.reports import gold
 from tidemark.sources import files as control
 from tidemark.sources.snapshots import Cost, SnapshotTable
 
+#: Figures of a metric record, beside metric_ts, source, load_id and status.
+FIGURES = (
+    "rows_processed", "files_processed", "bronze_rows", "silver_rows", "gold_rows", "duplicates_removed", "quality_violations", "duration_ms", "work_available", "work_in_flight", "work_completed", "keys_processed",
+    "lower_versions_ignored", "ff14_conflicts", "shadow_comparisons", "shadow_mismatches", "silver_duration_ms", "gold_duration_ms", "files_planned", "bytes_planned", "files_removed", "files_added", "bytes_removed", "bytes_added", "snapshot_delta",
+)
 #: Completed loads that the progress state keeps; receipts are never pruned.
 MAX_COMPLETED = 100
 NOTHING: Callable[[str], None] = lambda step: None
@@ -107,13 +112,27 @@ class Lakehouse:
     def _keep(self, name: str, value: dict) -> None:
         control.write_json(self.spark, f"{self.root}/control/{name}.json", value)
 
-    def record(self, source: str, status: str, **figures: int) -> None:
-        """A row of metrics; best effort, it never fails the work it measures."""
+    def record(self, source: str, status: str, load_id: str | None = None, **figures: int) -> None:
+        """A row of metrics, kept as a file of its own; best effort, it never fails the work it measures."""
         try:
-            self.metrics.append({"metric_ts": self.clock(), "source": source, "status": status, **figures})
+            row = {"metric_ts": self.clock(), "source": source, "load_id": load_id, "status": status, **figures}
+            self.metrics.append({k: v for k, v in row.items() if k != "load_id"})
+            control.write_json(self.spark, f"{self.root}/metrics/{uuid.uuid4().hex}.json", row)
         except Exception:  # noqa: BLE001, S110
             pass
 
+    def metric_rows(self) -> DataFrame:
+        """All metrics of this lakehouse, by whichever process they were recorded; figures not given are NULL."""
+        return self._kept_rows("metrics", "metric_ts double, source string, load_id string, status string, " + ", ".join(f"{f} bigint" for f in FIGURES))
+
+    def audit_rows(self) -> DataFrame:
+        """One row per table and maintenance run, failed ones included."""
+        return self._kept_rows("audit", "run string, run_ts double, table string, before int, after int, status string")
+
+    def _kept_rows(self, folder: str, schema: str) -> DataFrame:
+        paths = [p for p, _, _ in control.list_files(self.spark, f"{self.root}/{folder}") if p.endswith(".json")]
+        return self.spark.read.schema(schema).json(paths) if paths else self.spark.createDataFrame([], schema)
+
     # --- landing to bronze --------------------------------------------------------------------------------------------
     def ingest(self, landing: str) -> str | None:
         """Append all newly committed files as one load; returns the load id, or None if there is nothing new."""
@@ -144,7 +163,7 @@ class Lakehouse:
         state["pending"].pop(load, None)
         state["done"] = sorted({*state["done"], *paths})
         self._keep("writer", state)
-        self.record("writer", "success", rows_processed=made.summary["added-records"], files_added=made.summary["added-files"])
+        self.record("writer", "success", load, rows_processed=made.summary["added-records"], files_added=made.summary["added-files"])
 
     def recover(self, landing: str) -> list[str]:
         """Finish loads that a crash left pending: a committed one is only published, another is appended under its own id."""
@@ -189,7 +208,7 @@ class Lakehouse:
         control.write_json(self.spark, ledger, receipt)
         self.seam("receipt")
         self._complete(progress, load, path)
-        self.record("silver", "success", keys_processed=max(changed, 0), files_planned=cost.files_planned, bytes_planned=cost.bytes_planned, files_removed=cost.files_removed, files_added=cost.files_added)
+        self.record("silver", "success", load, keys_processed=max(changed, 0), files_planned=cost.files_planned, bytes_planned=cost.bytes_planned, files_removed=cost.files_removed, files_added=cost.files_added)
         return cost
 
     def _complete(self, progress: dict, load: str, path: str) -> None:
@@ -237,8 +256,13 @@ class Lakehouse:
 
     # --- maintenance --------------------------------------------------------------------------------------------------
     def maintain(self, retention: str, horizon: str = "1h", margin: str = "15m", retain_last: int = 5, file_size_threshold: int = 64 << 20) -> list[dict]:
-        """Optimize, expire and clean every table. A failed step is recorded and raised, never tried again within the run."""
-        kept, audit = check_retention(retention, horizon, margin), []
+        """Optimize, expire and clean every table. A failed step is recorded, audited and raised, never tried again within the run."""
+        kept, audit, run = check_retention(retention, horizon, margin), [], uuid.uuid4().hex
+
+        def keep(row: dict) -> None:
+            control.write_json(self.spark, f"{self.root}/audit/{run}-{row['table']}.json", {"run": run, "run_ts": self.clock(), **row})
+            self.record("maintenance", row["status"])
+
         for name, table in (("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold)):
             if table.snapshot() is None:
                 continue
@@ -251,14 +275,82 @@ class Lakehouse:
                 try:
                     work()
                 except Exception:
-                    self.record("maintenance", f"failed:{step}")
+                    keep({**row, "status": f"failed:{step}"})
                     raise
             row["after"] = len(table.versions())
             row["status"] = "ok" if row["after"] <= retain_last + 2 or row["after"] < row["before"] else "noop"
             audit.append(row)
-            self.record("maintenance", row["status"])
+            keep(row)
         return audit
 
+    def acknowledge_noop(self, path: str) -> bool:
+        """Write the receipt of a manifest in flight whose rows are all in silver already; the manifest stays for ``project`` to find the receipt.
+
+        False if it would change a row: nothing is written then. Conflicting rows raise.
+        """
+        manifest = control.read_json(self.spark, path)
+        load, ledger = manifest["load_id"], f"{self.root}/ledger/{manifest['load_id']}.json"
+        if control.exists(self.spark, ledger):
+            return True
+        incoming = self.bronze.open_paths(manifest["bronze_data_files"]).select(*versions.STATE) if manifest["bronze_data_files"] else self.bronze.read().select(*versions.STATE)
+        current = self.silver.read_keys(incoming.select("order_id")) if self.silver.snapshot() else incoming.limit(0)
+        if not versions.resolve(current, incoming).isEmpty():
+            return False
+        progress = self._state("progress", {"next_sequence": 1, "completed": {}})
+        control.write_json(self.spark, ledger, {"load_id": load, "sequence": progress["next_sequence"], "source_paths": manifest["source_paths"], "completed_at": self.clock(), "result": "success", "silver_snapshot_id": None, "changed_keys": 0}, exclusive=True)
+        return True
+
+
+REASONS = "no_physical_file_provenance load_id_not_found_in_bronze_snapshot_history load_id_has_ambiguous_bronze_snapshots manifest_is_post_migration_work active_or_inflight_progress null_order_id rows_not_fully_represented_in_authoritative_bronze order_id_missing_from_authoritative_bronze order_id_missing_from_current_silver silver_not_at_authoritative_b2_version".split()
+
+
+def classify_manifests(manifests: DataFrame, rows: DataFrame, bronze: DataFrame, silver: DataFrame, snapshots: DataFrame, boundary: float | None, in_flight: DataFrame) -> DataFrame:
+    """``(load_id, logical_rows, legacy_null_rows, versioned_rows, reasons, status)`` per manifest of an old outbox: may it go?
+
+    ``manifests`` and ``in_flight``: (load_id, source_paths, bronze_data_files); ``rows``: (load_id, ``versions.STATE`` columns), the manifests' rows;
+    ``snapshots``: (load_id, committed_at). ``boundary`` is the moment of the migration. A row without a version counts as version 1. Each row of
+    bronze answers for one row of one manifest at most, earlier load ids first: claims are counted per kind of row, not matched one by one.
+    """
+    payload = ("order_id", "business_version", "customer", "amount", "country", "status", "event_time")
+    per_load = rows.groupBy("load_id").agg(F.count(F.lit(1)).alias("logical_rows"), F.count_if(F.col("business_version").isNull()).alias("legacy_null_rows"), F.count_if(F.col("business_version").isNotNull()).alias("versioned_rows"), F.count_if(F.col("order_id").isNull()).alias("null_ids"))
+
+    hashed = lambda frame: frame.withColumn("kind", F.sha2(F.to_json(F.struct(*payload), {"ignoreNullFields": "false"}), 256))
+    known = rows.filter("order_id IS NOT NULL")
+    claims = hashed(known.withColumn("business_version", F.coalesce("business_version", F.lit(1).cast("bigint")))).groupBy("kind", "load_id").agg(F.count(F.lit(1)).alias("claimed"))
+    there = hashed(bronze).groupBy("kind").agg(F.count(F.lit(1)).alias("available"))
+    earlier = Window.partitionBy("kind").orderBy("load_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    unmatched = claims.withColumn("upto", F.sum("claimed").over(earlier)).join(there, "kind", "left").filter(F.col("upto") > F.coalesce("available", F.lit(0))).select("load_id").distinct().withColumn("unmatched", F.lit(True))
+
+    newest = bronze.groupBy("order_id").agg(F.max("business_version").alias("authoritative")).withColumn("in_bronze", F.lit(True))
+    state = silver.select("order_id", F.col("business_version").alias("current")).withColumn("in_silver", F.lit(True))
+    ids = known.select("load_id", "order_id").distinct().join(newest, "order_id", "left").join(state, "order_id", "left")
+    lacking, absent = F.col("in_bronze").isNull(), F.col("in_silver").isNull()
+    per_ids = ids.groupBy("load_id").agg(F.bool_or(lacking).alias("lacking"), F.bool_or(~lacking & absent).alias("absent"), F.bool_or(~lacking & ~absent & ~F.col("authoritative").eqNullSafe(F.col("current"))).alias("behind"))
+    commits = snapshots.groupBy("load_id").agg(F.count(F.lit(1)).alias("commits"), F.min("committed_at").alias("committed_at"))
+    active = overlapping(manifests, in_flight).withColumn("active", F.lit(True))
+
+    every = manifests.select("load_id", F.size("bronze_data_files").alias("files"))
+    for part in (per_load, unmatched, per_ids, commits, active):
+        every = every.join(part, "load_id", "left")
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    found = F.coalesce("commits", F.lit(0))
+    after = F.lit(True) if boundary is None else F.col("committed_at") > F.lit(boundary)
+    holds = [F.col("files") <= 0, found == 0, found > 1, (found == 1) & after, yes("active"), F.coalesce("null_ids", F.lit(0)) > 0, yes("unmatched"), yes("lacking"), yes("absent"), yes("behind")]
+    reasons = F.array_sort(F.array_compact(F.array(*[F.when(c, F.lit(r)) for c, r in zip(holds, REASONS, strict=True)])))
+    status = F.when(yes("active"), "IN_FLIGHT_BLOCKED").when(F.col("reasons") == F.array(F.lit("manifest_is_post_migration_work")), "LIVE_POST_MIGRATION").when(F.size("reasons") == 0, "SAFE_STALE").otherwise("BLOCKED")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("logical_rows", "legacy_null_rows", "versioned_rows")]
+    return every.withColumn("reasons", reasons).select("load_id", *zero, "reasons", status.alias("status"))
+
+
+def backfill_table(table: SnapshotTable, apply: bool = False) -> dict[str, int | bool]:
+    """What giving version 1 to the unversioned rows of a table would change; with ``apply`` it is done, by one overwrite. Rows that are not single raise either way."""
+    rows = table.read()
+    filled = backfill_versions(rows)
+    waiting = rows.filter("business_version IS NULL").count()
+    if apply and waiting:
+        table.overwrite(filled, {"backfill": "business_version"})
+    return {"unversioned": waiting, "would_change": waiting > 0, "changed": bool(apply and waiting)}
+
 
 def digest_of_rows(rows: DataFrame) -> str:
     """A digest of a table that depends on no order and gathers nothing: sums of 60-bit hashes, hashed."""

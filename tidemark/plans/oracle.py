@@ -238,7 +238,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'core matches stg order_items', core_order_items - stg_order_items, core_order_items = stg_order_items FROM measures UNION ALL SELECT 'duplicate grain rows', duplicate_grain_rows, duplicate_grain_rows = 0 FROM measures
         UNION ALL SELECT 'null business keys', null_key_rows, null_key_rows = 0 FROM measures UNION ALL SELECT 'max reconcile diff', max_reconcile_diff, max_reconcile_diff <= 0.01 FROM measures)"""),
     "warehouse_snapshot": core("""SELECT (SELECT count(*) FROM stg_orders) AS stg_orders, (SELECT count(*) FROM stg_order_items) AS stg_order_items, (SELECT count(*) FROM stg_customers) AS stg_customers, (SELECT count(*) FROM stg_order_payments) AS stg_order_payments,
-        (SELECT coalesce(sum(payment_value), 0)::DECIMAL(18,2) FROM stg_order_payments) AS staged_payments, (SELECT count(*) FROM core) AS core_orders, (SELECT coalesce(sum(payment_value), 0)::DECIMAL(18,2) FROM core) AS core_payments, (SELECT count(*) FROM items) AS core_order_items, (SELECT count(*) FROM days) AS sales_days"""),
+        (SELECT coalesce(sum(payment_value), 0)::DECIMAL(18,2) FROM stg_order_payments) AS staged_payments, (SELECT count(*) FROM core) AS core_orders, (SELECT coalesce(sum(payment_value), 0)::DECIMAL(18,2) FROM core) AS core_payments, (SELECT count(*) FROM items) AS core_order_items, (SELECT count(*) FROM days) AS sales_days, (SELECT coalesce(max(abs(diff_amount)), 0)::DECIMAL(18,2) FROM recon) AS max_reconcile_diff"""),
     "recent_runs": "SELECT run_id, strftime(run_ts AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS run_at, status, stg_orders, stg_order_items, core_order_items, mart_sales_days, duplicate_grain_rows, null_key_rows, max_reconcile_diff FROM pipeline_runs ORDER BY run_ts DESC, run_id DESC LIMIT 5",
     "run_health": "SELECT ingestion_run_id, count(*) AS runs, bool_and(status = 'success') AS all_good, strftime(max(run_ts) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS last_run_at FROM pipeline_runs GROUP BY ALL",
     "multiset_match": """WITH there AS (SELECT order_id, payment_value AS price, count(*) AS available FROM stg_order_payments GROUP BY ALL),

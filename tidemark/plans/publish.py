@@ -31,8 +31,12 @@ def published(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def html_report(results: dict[str, DataFrame], rows: int = 200) -> str:
-    """One page with a table per result; a report shows its first rows only."""
-    parts = [f"<h2>{title}</h2>{frame.limit(rows).toPandas().to_html(index=False, na_rep='')}" for title, frame in results.items()]
+    """One page with a table per result. A result of more than ``rows`` rows is cut, and the page says so and how many there are."""
+    parts = []
+    for title, frame in results.items():
+        shown = frame.limit(rows + 1).toPandas()
+        note = f"<p>The first {rows} of {frame.count()} rows.</p>" if len(shown) > rows else ""
+        parts.append(f"<h2>{title}</h2>{note}{shown.head(rows).to_html(index=False, na_rep='')}")
     return "<!doctype html><meta charset=\"utf-8\"><title>Report</title>" + "\n".join(parts)
 
 

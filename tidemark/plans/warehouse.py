@@ -17,6 +17,13 @@ class Warehouse:
 
     spark: SparkSession
     folder: str
+    store: str | None = None  # a folder to which core tables are written once, for queries that use them several times
+
+    def _kept(self, rows: DataFrame, name: str) -> DataFrame:
+        if self.store is None:
+            return rows
+        rows.write.mode("overwrite").parquet(f"{self.store}/{name}")
+        return self.spark.read.parquet(f"{self.store}/{name}")
 
     def stg(self, name: str) -> DataFrame:
         return table(self.spark, self.folder, f"stg_{name}")
@@ -35,14 +42,15 @@ class Warehouse:
         customers = self.stg("customers").select("customer_id", "ingest_date", "customer_state")
         orders = self.stg("orders").select("order_id", "customer_id", "order_status", F.to_date("order_purchase_timestamp").alias("order_purchase_date"), "ingest_date")
         joined = orders.join(customers, ["customer_id", "ingest_date"]).join(self.payments_by_order, ["order_id", "ingest_date"], "left")
-        return joined.select("order_id", "customer_id", "customer_state", "order_status", "order_purchase_date", "payment_value", "main_payment_type", "max_installments", "ingest_date")
+        return self._kept(joined.select("order_id", "customer_id", "customer_state", "order_status", "order_purchase_date", "payment_value", "main_payment_type", "max_installments", "ingest_date"), "core_orders")
 
     @cached_property
     def core_order_items(self) -> DataFrame:
         orders = self.core_orders.select("order_id", "order_purchase_date", "order_status", "customer_id", "customer_state")
-        return self.stg("order_items").join(orders, "order_id").select(
+        items = self.stg("order_items").join(orders, "order_id").select(
             "order_id", "order_item_id", "order_purchase_date", "order_status", "customer_id", "customer_state", "product_id", "seller_id", "price", "freight_value", "ingest_date"
         )
+        return self._kept(items, "core_order_items")
 
     @cached_property
     def order_items_wide(self) -> DataFrame:
@@ -77,7 +85,4 @@ class Warehouse:
             F.count(F.lit(1)).alias("orders_cnt"), total("payment_value").alias("payment_sum"), mean(F.sum("payment_value"), F.count("payment_value")).alias("avg_payment")
         )
 
-    def duplicate_grain(self, rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-
 

@@ -2,6 +2,10 @@
 
 ``<path>/partition=<n>/<first offset>.jsonl`` holds one message per line: offset, timestamp (milliseconds), key, value. Offsets
 below the first kept one are gone; a query that still needs them fails loudly unless ``failOnDataLoss`` is false.
+
+``maxOffsetsPerTrigger`` bounds a batch, shared out by each partition's backlog. Spark does not tell a Python source where its checkpoint
+stands, so the source keeps where it got to in ``progressFile`` (one per query, beside its checkpoint); without that file the first
+batch after a start is the whole backlog.
 """
 
 from __future__ import annotations
@@ -83,6 +87,7 @@ class _Reading:
         self.topic = options.get("topic", self.path.name)
         self.strict = options.get("failOnDataLoss", "true").lower() == "true"
         self.limit = int(options.get("maxOffsetsPerTrigger", 0))
+        self.progress = Path(options["progressFile"]) if "progressFile" in options else None
 
     def _read(self, span: Span) -> Iterator[tuple]:
         for first, file in _segments(self.path / f"partition={span.partition}"):
@@ -103,6 +108,17 @@ class TopicReader(_Reading, DataSourceReader):
         return self._read(partition)
 
 
+def _shared_out(backlog: dict[str, int], limit: int) -> dict[str, int]:
+    """At most ``limit`` in all, in proportion to the backlogs; what rounding leaves goes to the largest."""
+    whole = sum(backlog.values())
+    if whole <= limit:
+        return backlog
+    parts = {n: limit * b // whole for n, b in backlog.items()}
+    for n in sorted(backlog, key=lambda n: -backlog[n]):
+        parts[n] += min(limit - sum(parts.values()), backlog[n] - parts[n])
+    return parts
+
+
 class TopicStream(_Reading, DataSourceStreamReader):
     def __init__(self, options: dict[str, str]) -> None:
         super().__init__(options)
@@ -113,13 +129,22 @@ class TopicStream(_Reading, DataSourceStreamReader):
 
     def latestOffset(self) -> dict[str, int]:
         latest = {str(n): b for n, (_, b) in _ends(self.path).items()}
-        if self.limit and self.reached is not None:
-            room = self.limit
-            for n in sorted(latest):
-                take = min(room, max(0, latest[n] - self.reached.get(n, 0)))
-                latest[n], room = self.reached.get(n, 0) + take, room - take
-        self.reached = latest
-        return latest
+        if not self.limit:
+            return latest
+        if self.reached is None and self.progress is None:
+            self.reached = latest
+            return latest
+        if self.reached is None:  # what is written is never behind the checkpoint, as an offset is logged after it was given
+            self.reached = json.loads(self.progress.read_text()) if self.progress.exists() else self.initialOffset()
+        backlog = {n: max(0, b - self.reached.get(n, 0)) for n, b in latest.items()}
+        self.reached = {n: self.reached.get(n, 0) + take for n, take in _shared_out(backlog, self.limit).items()}
+        if self.progress is None:
+            return self.reached
+        self.progress.parent.mkdir(parents=True, exist_ok=True)
+        temporary = self.progress.with_suffix(".tmp")
+        temporary.write_text(json.dumps(self.reached))
+        os.replace(temporary, self.progress)
+        return self.reached
 
     def partitions(self, start: dict[str, int], end: dict[str, int]) -> list[Span]:
         ends, spans = _ends(self.path), []
