@@ -77,3 +77,30 @@ def test_log_counts_an_entry_once_under_any_log_seq(spark, rows_of):
     log = spark.createDataFrame([(1, "add", 7, "l"), (1, "add", 7, "l"), (5, "add", 7, "l"), (2, "add", 8, "l"), (3, "remove", 7, "l"), (9, "remove", 7, "l"), (6, "add", 7, "m")], LOG)
     metrics = spark.createDataFrame([("l", 2, 1), ("m", 2, 0), (None, 5, 5)], "load_id string, files_added bigint, files_removed bigint")
     assert rows_of(compaction.log_balance(log, metrics)) == [("l", 2, 1, 2, 1, True), ("m", 1, 0, 2, 0, False)]
+
+
+def test_a_log_that_changes_later_and_merged_batches(spark, tmp_path):
+    source, out = str(tmp_path / "files.parquet"), str(tmp_path / "out")
+    days = [dt.date(2020, 1, 1), dt.date(2020, 1, 2), None]
+    rows = [(i, days[i % 3], f'{{"i":{i}}}\n{{"j":{i}}}') for i in range(12)]
+    spark.createDataFrame(rows, "file_id bigint, event_date date, body string").repartition(4).write.parquet(source)
+    log = lambda *entries: spark.createDataFrame([(n, a, f) for n, (a, f) in enumerate(entries)], "log_seq bigint, log_action string, file_id bigint")
+    ids = lambda df: {r.file_id for r in df.select("file_id").distinct().collect()}
+    first = [("add", i) for i in range(8)]
+    assert ids(compaction.compact_stream(spark, source, log(*first), out, max_files=1)) == set(range(8))
+    second = [*first, ("remove", 3), ("add", 9), ("add", 10)]
+    for _ in range(2):  # caught up with once
+        got = compaction.compact_stream(spark, source, log(*second), out, max_files=1)
+        assert ids(got) == {0, 1, 2, 4, 5, 6, 7, 9, 10} and got.count() == 18
+    before = len(got.inputFiles())
+    merged = compaction.merge_batches(spark, out, compaction.live_files(log(*second)))
+    assert sorted(merged.select("file_id", "record").collect()) == sorted(got_rows(rows, {0, 1, 2, 4, 5, 6, 7, 9, 10}))
+    assert len(merged.inputFiles()) <= 3 < before  # at most one a day
+    third = [*second, ("add", 11), ("add", 3)]
+    got = compaction.compact_stream(spark, source, log(*third), out, max_files=1)
+    assert ids(got) == {0, 1, 2, 3, 4, 5, 6, 7, 9, 10, 11} and got.count() == 22
+    assert compaction.merge_batches(spark, out, compaction.live_files(log(*third))).count() == 22
+
+
+def got_rows(rows, ids):
+    return [(i, line) for i, _, body in rows if i in ids for line in body.split("\n")]

@@ -224,6 +224,11 @@ def test_noop_acknowledgement_metrics_and_backfill(spark, tmp_path):
     again = lh.Lakehouse(spark, str(tmp_path / "lake"))  # another process finds what was recorded
     assert {r.source for r in again.metric_rows().collect()} >= {"writer", "silver", "maintenance"} and again.metric_rows().filter("source = 'writer'").agg(F.sum("rows_processed")).first()[0] == 3
     assert len(again.metric_rows().columns) == 29 and {r.table for r in again.audit_rows().collect()} == {"bronze", "silver"}
+    run = again.audit_rows().first().run
+    lh.check_audit(again.audit_rows(), run, ("bronze", "silver"))
+    for tables, rows in ((("bronze", "silver", "gold"), again.audit_rows()), (("bronze", "silver"), again.audit_rows().union(again.audit_rows().limit(1))), (("bronze",), again.audit_rows())):
+        with pytest.raises(ValueError, match=run):
+            lh.check_audit(rows, run, tables)
     old = lh.SnapshotTable(spark, str(tmp_path / "old"))
     old.append(spark.createDataFrame([row("x", None, 1), row("y", 2, 2)], EVENTS))
     assert lh.backfill_table(old) == {"unversioned": 1, "would_change": True, "changed": False} and len(old.versions()) == 1

@@ -2,7 +2,9 @@
 
 The stream discovers each stored file once. A batch is written below its batch number in overwrite mode, so a batch that is
 run again after a failure replaces its own output and can never add a file twice. Only files that the log holds as live are
-taken: of a file's log entries the one with the highest sequence decides.
+taken: of a file's log entries the one with the highest sequence decides. A file that is added to the log only after its batch is
+caught up with, one that is removed later is left out on reading, and what small batches have written is merged into well-sized
+files by ``merge_batches``.
 """
 
 from __future__ import annotations
@@ -56,24 +58,85 @@ def compact_stream(
     live = live_files(log)
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = consolidate(small_files(batch, live, small_bytes), target_bytes)
-        ordered = rows.repartition(F.col("event_date"), F.col("bundle")).sortWithinPartitions("event_date", "bundle", "file_id", "line_no")
-        ordered.write.mode("overwrite").parquet(f"{out}/data/batch_id={number}")
+        _write_bundles(small_files(batch, live, small_bytes), target_bytes, f"{out}/data/batch_id={number}")
+        waiting = batch.filter(F.coalesce(F.octet_length("body"), F.lit(0)) < small_bytes).select("file_id").join(live, "file_id", "left_anti")
+        waiting.write.mode("overwrite").parquet(f"{out}/waiting/batch_id={number}")
 
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
+    before = control.exists(spark, f"{out}/waiting")
     query = reader.parquet(stream_path(source)).writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return consolidated(spark, out)
+    if before:
+        _catch_up(spark, source, live, out, small_bytes, target_bytes)
+    return consolidated(spark, out, live)
 
 
-def consolidated(spark: SparkSession, out: str) -> DataFrame:
-    if not control.exists(spark, f"{out}/data"):
-        return spark.createDataFrame([], "event_date date, bundle bigint, file_id bigint, body_bytes int, line_no int, record string, batch_id int")
-    return spark.read.parquet(f"{out}/data")
+def _write_bundles(small: DataFrame, target_bytes: int, path: str) -> None:
+    ordered = consolidate(small, target_bytes).repartition(F.col("event_date"), F.col("bundle")).sortWithinPartitions("event_date", "bundle", "file_id", "line_no")
+    ordered.write.mode("overwrite").parquet(path)
+
+
+#: Batch numbers of files that were caught up with, and of merged batches, begin here.
+LATE, MERGED = 1_000_000_000, 2_000_000_000
+_RECORDS = "event_date date, bundle bigint, file_id bigint, body_bytes int, line_no int, record string, batch_id int"
+
+
+def _batches(spark: SparkSession, out: str) -> list[int]:
+    """Batches that count: those that no merge stands for, late and merged ones once their marker is there."""
+    merge = control.read_json(spark, f"{out}/merge.json") if control.exists(spark, f"{out}/merge.json") else {"batch": None, "holds": []}
+    late = {int(p.rsplit("/", 1)[1][:-5]) for p, _, _ in control.list_files(spark, f"{out}/late")}
+    fs, folder = control.file_system(spark, f"{out}/data")
+    there = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder) if s.getPath().getName().startswith("batch_id=")] if fs.exists(folder) else []
+    return sorted(n for n in there if n not in merge["holds"] and (n < LATE or n in late or n == merge["batch"]))
+
+
+def _catch_up(spark: SparkSession, source: str, live: DataFrame, out: str, small_bytes: int, target_bytes: int) -> None:
+    """Files discovered before they were live, and live now: one batch under the next late number, which counts once its marker is there."""
+    taken = _all_records(spark, out).select("file_id").distinct()
+    due = spark.read.schema("file_id bigint").parquet(f"{out}/waiting").join(live, "file_id", "left_semi").join(taken, "file_id", "left_anti").distinct()
+    if due.isEmpty():
+        return
+    number = LATE + len(control.list_files(spark, f"{out}/late"))
+    _write_bundles(small_files(spark.read.parquet(source), due, small_bytes), target_bytes, f"{out}/data/batch_id={number}")
+    control.write_json(spark, f"{out}/late/{number}.json", {"batch": number})
+
+
+def _all_records(spark: SparkSession, out: str) -> DataFrame:
+    paths = [f"{out}/data/batch_id={n}" for n in _batches(spark, out)]
+    return spark.read.schema(_RECORDS).option("basePath", f"{out}/data").parquet(*paths) if paths else spark.createDataFrame([], _RECORDS)
+
+
+def consolidated(spark: SparkSession, out: str, live: DataFrame | None = None) -> DataFrame:
+    """Consolidated records; with ``live`` those of files that are still live."""
+    rows = _all_records(spark, out)
+    return rows if live is None else rows.join(live, "file_id", "left_semi").select(*rows.columns)
+
+
+def merge_batches(spark: SparkSession, out: str, live: DataFrame | None = None, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Bundle the records of all batches anew, so that what small batches wrote for a day lies in as few files as its bytes fill.
+
+    The merged batch stands for the others once a pointer says so; then these are deleted. A crash before that leaves them in use.
+    """
+    held = _batches(spark, out)
+    rows = consolidated(spark, out, live)
+    files = rows.groupBy("event_date", "file_id").agg(F.max("body_bytes").alias("b"))
+    bundles = files.groupBy("event_date").agg(F.greatest(F.ceil(F.sum("b") / target_bytes), F.lit(1)).alias("bundles")).withColumnRenamed("event_date", "bundle_date")
+    # one row per day
+    dealt = rows.drop("bundle", "batch_id").join(F.broadcast(bundles), F.col("event_date").eqNullSafe(F.col("bundle_date"))).withColumn("bundle", F.pmod(F.xxhash64("file_id"), F.col("bundles")).cast("bigint"))
+    number = MERGED + 1 + (held[-1] - MERGED if held and held[-1] >= MERGED else 0)
+    out_rows = dealt.select("event_date", "bundle", "file_id", "body_bytes", "line_no", "record").repartition(F.col("event_date"), F.col("bundle")).sortWithinPartitions("event_date", "bundle", "file_id", "line_no")
+    out_rows.write.mode("overwrite").parquet(f"{out}/data/batch_id={number}")
+    if live is not None:  # should they be added again, they are caught up with
+        _all_records(spark, out).select("file_id").distinct().join(live, "file_id", "left_anti").write.mode("overwrite").parquet(f"{out}/waiting/batch_id={number}")
+    gone = control.read_json(spark, f"{out}/merge.json")["holds"] if control.exists(spark, f"{out}/merge.json") else []
+    control.write_json(spark, f"{out}/merge.json", {"batch": number, "holds": sorted({*gone, *held})})
+    for n in held:
+        control.delete(spark, f"{out}/data/batch_id={n}")
+    return consolidated(spark, out, live)
 
 
 def log_balance(log: DataFrame, metrics: DataFrame) -> DataFrame:

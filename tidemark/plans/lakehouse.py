@@ -352,6 +352,14 @@ def backfill_table(table: SnapshotTable, apply: bool = False) -> dict[str, int |
     return {"unversioned": waiting, "would_change": waiting > 0, "changed": bool(apply and waiting)}
 
 
+def check_audit(audit: DataFrame, run: str, tables: tuple[str, ...] = ("bronze", "silver", "gold")) -> None:
+    """A maintenance run must have exactly one row that is ok or noop for each table, and no other."""
+    rows = audit.filter(F.col("run") == run).groupBy("table").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status").isin("ok", "noop")).alias("good")).collect()  # one row per table
+    wrong = sorted({t for t in tables} ^ {r.table for r in rows if r.n == r.good == 1})
+    if wrong:
+        raise ValueError(f"run {run}: no single success for {', '.join(wrong)}")
+
+
 def digest_of_rows(rows: DataFrame) -> str:
     """A digest of a table that depends on no order and gathers nothing: sums of 60-bit hashes, hashed."""
     text = F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"})

@@ -247,6 +247,9 @@ ORACLE: dict[str, str] = {
     "like_prefixes": """SELECT started, status || '/' || started AS label, count(*) AS runs FROM (SELECT status, CASE WHEN ingestion_run_id LIKE 'scheduled%' THEN 'scheduled' WHEN ingestion_run_id LIKE 'manual%' THEN 'manual' WHEN ingestion_run_id IS NULL THEN 'unknown' ELSE 'other' END AS started FROM pipeline_runs) GROUP BY ALL""",
     "file_mix": """SELECT event_date, CASE WHEN strlen(body) = 0 THEN 'empty' WHEN strlen(body) < 1024 THEN 'tiny' WHEN strlen(body) < 8192 THEN 'small' ELSE 'large' END AS size_class, count(*) AS files, sum(strlen(body))::BIGINT AS bytes FROM landing_files GROUP BY ALL""",
     "stale_sources": """SELECT source, count(*) FILTER (status NOT IN ('success', 'ok', 'noop') OR status IS NULL) AS failures, ((epoch_us((SELECT max(metric_ts) FROM lakehouse_metrics)) - epoch_us(max(metric_ts) FILTER (status IN ('success', 'ok', 'noop')))) // 1000000)::BIGINT AS seconds_since_success FROM lakehouse_metrics GROUP BY source""",
+    "failure_increase": """WITH per AS (SELECT source, epoch_us(metric_ts) // 60000000 AS minute, count(*) FILTER (status NOT IN ('success', 'ok', 'noop')) AS failures FROM lakehouse_metrics GROUP BY ALL),
+        ten AS (SELECT source, minute, sum(failures) OVER (PARTITION BY source ORDER BY minute RANGE BETWEEN 9 PRECEDING AND CURRENT ROW)::BIGINT AS increase FROM per)
+        SELECT source, minute, increase, round(increase / 600, 9) AS rate FROM ten WHERE increase > 0""",
     "current_conflicts": f"""WITH {SIDES} SELECT i.order_id, i.business_version, c.amount AS current_amount, i.amount AS incoming_amount FROM inc i JOIN cur c USING (order_id, business_version) WHERE c.amount IS DISTINCT FROM i.amount OR c.status IS DISTINCT FROM i.status""",
     "largest_payment": """SELECT ingest_date, row_number() OVER (PARTITION BY ingest_date ORDER BY payment_value DESC)::INTEGER AS place, payment_value FROM (SELECT DISTINCT ingest_date, order_id, payment_sequential, payment_value FROM stg_order_payments WHERE payment_value IS NOT NULL) QUALIFY place <= 3""",
 }

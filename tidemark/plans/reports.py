@@ -470,6 +470,16 @@ def stale_sources(spark: SparkSession, sf: str) -> DataFrame:
     return per.crossJoin(latest).select("source", "failures", ((F.col("now") - F.col("good")) / 1_000_000).cast("bigint").alias("seconds_since_success"))
 
 
+@query
+def failure_increase(spark: SparkSession, sf: str) -> DataFrame:
+    """Minutes in which a source had failures in the ten minutes up to it: their increase and rate. Rows are counted per minute before minutes are put in order."""
+    minute = F.floor(F.unix_micros("metric_ts") / 60_000_000)
+    bad = F.col("status").isNotNull() & ~F.col("status").isin("success", "ok", "noop")
+    per = table(spark, sf, "lakehouse_metrics").groupBy("source", minute.alias("minute")).agg(F.count_if(bad).alias("failures"))
+    ten = Window.partitionBy("source").orderBy("minute").rangeBetween(-9, 0)
+    return per.withColumn("increase", F.sum("failures").over(ten)).filter("increase > 0").select("source", "minute", "increase", F.round(F.col("increase") / 600, 9).alias("rate"))
+
+
 @query
 def current_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     """Incoming rows with the version of the current row but another amount or status."""
