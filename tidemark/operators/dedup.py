@@ -48,7 +48,8 @@ class SeenStore:
     """
 
     def __init__(self, spark: SparkSession, path: str, horizon: str = "1 day", buckets: int = 0, fanout: int = 8) -> None:
-        self.spark, self.path, self.horizon, self.fanout = spark, path.rstrip("/"), horizon, fanout
+        self.spark, self.path, self.fanout = spark, path.rstrip("/"), fanout
+        self.horizon = spark.range(1).select(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {horizon}"))).first()[0]
         made = self.state()["buckets"]
         self.runs = Runs(spark, f"{self.path}/runs", KEY, made or buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -71,7 +72,7 @@ class SeenStore:
         now = self.state()
         if number <= now["batch"]:
             return
-        updated = self.runs.dealt(copies_by_message(batch))
+        updated = self.runs.dealt(copies_by_message(batch), grouped=True)
         for place in ("live", "ledger"):  # the same partitioning on both sides, so only the batch's records are moved
             if (known := self._records(now[place])) is not None:
                 known = known.select(*[F.col(k).alias(f"k_{k}") for k in KEY], F.col("kept").alias("k_kept"), F.col("n").alias(f"{place}_n"), F.col("last_seen").alias("k_seen"))
@@ -83,7 +84,7 @@ class SeenStore:
         name = f"batch-{number:09d}"
         self.runs.write(updated, name, dealt=True)
         newest = self._newest_in(name)
-        reach = None if newest is None else newest - self._horizon()
+        reach = None if newest is None else newest - self.horizon
         mark = max([x for x in (now["watermark"], reach) if x is not None], default=None)
         runs = [*now["live"], {"name": name, "level": 0, "newest": newest}]
         past = lambda r: r["newest"] is not None and mark is not None and r["newest"] < mark
@@ -96,9 +97,6 @@ class SeenStore:
     def _newest_in(self, name: str) -> int | None:
         return self.runs.read([name]).agg(F.max(F.unix_micros(F.col("last_seen").cast("timestamp")))).first()[0]
 
-    def _horizon(self) -> int:
-        return self.spark.range(1).select(F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {self.horizon}"))).first()[0]
-
     def _settle(self, state: dict) -> list[dict]:
         """Merge crowded levels of live state and ledger; returns the runs that the new state needs no more."""
         gone = []

@@ -71,7 +71,7 @@ class LsmTable:
         batch = int(run[6:]) if run.startswith("batch-") else None
         if run in known["names"] or run in [r["name"] for r in known["runs"]] or batch is not None and batch <= known["through"]:
             return run
-        self.runs.write(newest_per_key(changes, self.key, self.order), run)
+        self.runs.write(self.runs.dealt(newest_per_key(changes, self.key, self.order), grouped=True), run, dealt=True)
         self._commit({**known, "runs": [*known["runs"], {"name": run, "level": 0}], "through": known["through"] if batch is None else batch})
         return run
 

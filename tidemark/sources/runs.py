@@ -21,8 +21,10 @@ class Runs:
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int) -> None:
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), keys, buckets
 
-    def dealt(self, rows: DataFrame) -> DataFrame:
-        """Rows in the partitioning of the runs."""
+    def dealt(self, rows: DataFrame, grouped: bool = False) -> DataFrame:
+        """Rows in the partitioning of the runs. Rows just ``grouped`` by the keys are in it already where the session shuffles into as many parts."""
+        if grouped and int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) == self.buckets:
+            return rows
         return rows.repartition(self.buckets, *self.keys)
 
     def write(self, rows: DataFrame, name: str, dealt: bool = False) -> None:
