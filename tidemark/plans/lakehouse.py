@@ -21,7 +21,7 @@ from tidemark.plans.reports import gold
 from tidemark.sources import files as control
 from tidemark.sources.snapshots import Cost, SnapshotTable
 
-#: Figures of a metric record, beside metric_ts, source, load_id and status.
+#: Figures of a metric record, beside metric_ts, source, load_id and status.
 FIGURES = (
     "rows_processed", "files_processed", "bronze_rows", "silver_rows", "gold_rows", "duplicates_removed", "quality_violations", "duration_ms", "work_available", "work_in_flight", "work_completed", "keys_processed",
     "lower_versions_ignored", "ff14_conflicts", "shadow_comparisons", "shadow_mismatches", "silver_duration_ms", "gold_duration_ms", "files_planned", "bytes_planned", "files_removed", "files_added", "bytes_removed", "bytes_added", "snapshot_delta",
@@ -301,6 +301,7 @@ class Lakehouse:
         return True
 
 
+#: Why a manifest may not go.
 REASONS = "no_physical_file_provenance load_id_not_found_in_bronze_snapshot_history load_id_has_ambiguous_bronze_snapshots manifest_is_post_migration_work active_or_inflight_progress null_order_id rows_not_fully_represented_in_authoritative_bronze order_id_missing_from_authoritative_bronze order_id_missing_from_current_silver silver_not_at_authoritative_b2_version".split()
 
 
